@@ -15,7 +15,8 @@ Candidates intersect the filters before any verification.  Pairs inside big grou
 are never listed: first every text is paired with the leader of each of its kept shingles (the most
 central text), the links found are contracted to components, and only pairs between different
 components are looked at, in blocks of at most ``BLOCK`` x ``BLOCK`` rows, by a bit-parity sketch
-whose bound never rules out a link.  Survivors are verified on the whole sets.  A link left out is
+whose bound never rules out a link: once for each text's likeliest partner, then, with these
+contracted too, for all pairs that are left.  Survivors are verified on the whole sets.  A link left out is
 between texts that are connected already, so components are exact.
 
 Equal texts are one node.  Texts are told apart by 64-bit hashes.
@@ -171,9 +172,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return few.join(own, "a").join(other, "b").select("a", "b", "tokens", "other").mapInArrow(exact, "a long, b long")
 
 
-def _across(postings: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(postings: DataFrame, sets: DataFrame, nearest: bool = False) -> DataFrame:
     """Pairs (a, b) of one posting list and different components that may link.
 
+    nearest: only the likeliest partner of each text outside the list's largest component, which is
+    enough to join most components before all the pairs that are left are looked at.
+
     A list longer than BLOCK is cut into blocks by hash and each pair of blocks is a unit of work;
     units stream through sorted partitions, so a task holds two blocks at a time."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -187,16 +191,29 @@ def _across(postings: DataFrame, sets: DataFrame) -> DataFrame:
         tid, label, n = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
         bits = np.frombuffer(b"".join(r[7] for r in rows), np.uint64).reshape(-1, SKETCH)
         i, j = rows[0][1:3]
+        values, counts = np.unique(label, return_counts=True)
+        largest, room, best = values[counts.argmax()], np.full(len(rows), -1), np.zeros(len(rows), np.int64)
         for k in range(len(rows) - 1):
-            later = slice(k + 1, None)
-            maybe = label[later] != label[k]
+            maybe = label[k + 1 :] != label[k]
             if i != j:
-                maybe &= own[later] != own[k]
+                maybe &= own[k + 1 :] != own[k]
             at = np.flatnonzero(maybe) + k + 1
-            if len(at):
-                at = at[_may_link(n[at], int(n[k]), np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64))]
+            if not len(at):
+                continue
+            differ = np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64)
+            may = _may_link(n[at], int(n[k]), differ)
+            at, spare = at[may], (n[at] + n[k] - differ)[may] * 1000 // (n[at] + n[k])[may]
+            if not nearest:
                 for x in tid[at].tolist():
                     yield max(x, int(tid[k])), min(x, int(tid[k]))
+            elif len(at):
+                better = spare > room[at]
+                room[at[better]], best[at[better]] = spare[better], tid[k]
+                if spare.max() > room[k]:
+                    room[k], best[k] = spare.max(), tid[at[spare.argmax()]]
+        if nearest:
+            for k in np.flatnonzero((room >= 0) & (label != largest)):
+                yield max(int(tid[k]), int(best[k])), min(int(tid[k]), int(best[k]))
 
     def run(batches):
         key, held, found = None, [], set()
@@ -245,9 +262,12 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     stars = postings.join(leaders, "token").where("tid <> lead.tid").select(F.greatest("tid", "lead.tid").alias("a"), F.least("tid", "lead.tid").alias("b")).distinct()
     first = materialise(_verified(stars, sets), "jaccard-stars")
     labels = materialise(components(first), "jaccard-components")
-    labelled = postings.select("token", "tid").join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("token", "tid", F.coalesce("label", "tid").alias("label"))
-    rest = materialise(_verified(_across(labelled, sets), sets), "jaccard-rest")
-    return tokens.select("tid", "n"), components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(rest))
+    for nearest in (True, False):
+        node = labels.select(F.col("node").alias("tid"), "label")
+        labelled = postings.select("token", "tid").join(node, "tid", "left").select("token", "tid", F.coalesce("label", "tid").alias("label"))
+        found = materialise(_verified(_across(labelled, sets, nearest), sets), "jaccard-across")
+        labels = materialise(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)), "jaccard-components")
+    return tokens.select("tid", "n"), labels
 
 
 def link(docs: DataFrame) -> DataFrame:
