@@ -1,0 +1,83 @@
+"""Readers of the registry and of its sources.
+
+Every record keeps its untouched line (``raw``) and a ``ordinal`` that orders records as in the
+file: the file's name order, then the position in it.  A malformed record aborts the read."""
+
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.text import collapse_blank_lines, palochka
+from . import schemas
+
+
+def with_ordinal(lines: DataFrame) -> DataFrame:
+    """Number rows in file order.  A scan's partitions are in file order, so partition and place
+    order rows without a shuffle."""
+    return lines.withColumn("ordinal", F.monotonically_increasing_id())
+
+
+def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One record per line; blank lines are skipped; a malformed line aborts the read."""
+    lines = with_ordinal(spark.read.text(path).withColumnRenamed("value", "raw")).where(F.trim("raw") != "")
+    return lines.select("ordinal", "raw", F.from_json("raw", schema, {"mode": "FAILFAST"}).alias("r")).select("ordinal", "raw", "r.*")
+
+
+def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The elements of a JSON array file, in order; any other root is an error."""
+    whole = spark.read.text(path, wholetext=True)
+    root = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.raise_error(F.lit("the root of a corpus file is not a list")))
+    items = whole.select(F.from_json(root, f"array<struct<{_as_struct(schema)}>>", {"mode": "FAILFAST"}).alias("items"))
+    return items.select(F.posexplode("items").alias("ordinal", "r")).select(F.col("ordinal").cast("long"), "r.*")
+
+
+def _as_struct(schema: str) -> str:
+    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in T._parse_datatype_string(schema).fields)
+
+
+def catalog(spark: SparkSession, path: str) -> DataFrame:
+    """Sources of the registry with their order."""
+    whole = spark.read.text(path, wholetext=True)
+    parsed = whole.select(F.from_json("value", f"sources array<struct<{_as_struct(schemas.SOURCE)}>>", {"mode": "FAILFAST"}).alias("c"))
+    return parsed.select(F.posexplode("c.sources").alias("source_order", "s")).select("source_order", "s.*")
+
+
+def read_source(spark: SparkSession, kind: str | None, fmt: str | None, path: str) -> DataFrame:
+    """Dispatch on kind and format; an unknown kind is a dictionary."""
+    schema = schemas.KINDS.get(kind or "dictionary", schemas.ENTRY)
+    return json_array(spark, path, schema) if fmt == "json" else jsonl(spark, path, schema)
+
+
+def docx_paragraphs(data: bytes) -> str:
+    """Text of a DOCX file, one line per paragraph."""
+    xml = zipfile.ZipFile(io.BytesIO(data)).read("word/document.xml").decode()
+    out = []
+    for block in re.findall(r"<w:p[ >].*?</w:p>|<w:p/>", xml, re.S):
+        runs = re.findall(r"<w:t(?: [^>]*)?>([^<]*)</w:t>|(<w:tab/>)|(<w:br/>)", block)
+        text = "".join(t or ("\t" if tab else "\n") for t, tab, _ in runs)
+        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+            text = text.replace(entity, char)
+        out.append(text)
+    return "\n".join(out)
+
+
+def books(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text) of book files: DOCX is unpacked, anything else is read as extracted text; then
+    letters are normalised and blank lines collapsed."""
+    unpack = F.udf(docx_paragraphs, T.StringType())
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    text = F.when(F.lower("path").endswith(".docx"), unpack("content")).otherwise(F.col("content").cast("string"))
+    return files.select("path", collapse_blank_lines(palochka(text)).alias("text"))
+
+
+def require_all(wanted: DataFrame, present: DataFrame, on: str = "path") -> None:
+    """Raise, before anything is written, if a wanted file is not there."""
+    lost = [r[0] for r in wanted.join(present.select(on).distinct(), on, "left_anti").select(on).limit(20).collect()]
+    if lost:
+        raise FileNotFoundError(f"missing: {', '.join(map(str, lost))}")
