@@ -7,13 +7,14 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import escape_html, paragraphs, preview, thousands, url_quote
 from . import articles as art
 from . import corpus, dictionary
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def pretty_json(raw: pd.Series) -> pd.Series:
     """Two-space indent, characters unescaped, keys in their own order."""
     return raw.map(lambda x: None if x is None else json.dumps(json.loads(x), indent=2, ensure_ascii=False))
