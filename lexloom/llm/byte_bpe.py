@@ -119,12 +119,13 @@ class Codec:
         self.binary = {i: b for b, i in ranks.items()}
         self.words = WordCache(lambda words: [fold_merges(w.encode(), ranks) for w in words])
         self.heads = WordCache(self.of_parts, 50_000)
-        self.rest = WordCache(lambda words: self.of_parts([" " + w for w in words]), 300_000)
+        self.rest = WordCache(lambda words: self.of_parts([" " + w for w in words]), 400_000)
 
     def of_parts(self, parts: list[str]) -> list[tuple[int, str, bytes]]:
         """(number of ids, ids in decimal, decoded bytes) of texts that encode by themselves."""
         split = [self.split.findall(p) for p in parts]
-        known = self.words.load(t for s in split for t in s)
+        every = list({t for s in split for t in s})
+        known = dict(zip(every, self.words.of(every), strict=True))
         out = []
         for s in split:
             ids = [i for t in s for i in known[t]]
@@ -133,7 +134,7 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         head, rest = pieces(text)
-        found = [*self.of_parts([head] if head else []), *map(self.rest.load(rest).__getitem__, rest)]
+        found = [*self.of_parts([head] if head else []), *self.rest.of(rest)]
         return [int(i) for x in found for i in x[1].split()]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -141,11 +142,9 @@ class Codec:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         head, rest = pieces(text)
-        found = list(map(self.rest.known.get, rest))
-        if None in found:
-            found = list(map(self.rest.load(rest).__getitem__, rest))
+        found = self.rest.of(rest)
         if head:
-            found.insert(0, self.heads.load([head])[head])
+            found.insert(0, self.heads.of([head])[0])
         counts, ids, binary = zip(*found, strict=True) if found else ((), (), ())
         return sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(binary)).hexdigest()
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,20 +58,29 @@ class WordCache:
     """Bounded memo from a piece of text to its encoding, kept by a Python worker between batches.
 
     ``fill`` gets a list of unseen pieces and returns their values in order.  When the memo is full
-    it starts anew, so memory is bounded and results never depend on what was cached."""
+    the half learnt first stays (frequent words come early), so memory is bounded; results never
+    depend on what is remembered."""
 
-    def __init__(self, fill: Callable[[list], Iterable], limit: int = 400_000):
+    def __init__(self, fill: Callable[[list], Iterable], limit: int = 600_000):
         self.fill, self.limit, self.known = fill, limit, {}
 
-    def load(self, wanted: Iterable) -> dict:
-        """The memo, holding every wanted piece."""
-        wanted = set(wanted)
-        missing = list(wanted.difference(self.known))
-        if missing:
-            if len(self.known) + len(missing) > self.limit:
-                self.known, missing = {}, list(wanted)
-            self.known.update(zip(missing, self.fill(missing), strict=True))
-        return self.known
+    def learn(self, missing: list) -> dict:
+        values = dict(zip(missing, self.fill(missing), strict=True))
+        if len(self.known) + len(values) > self.limit:
+            self.known = dict(islice(self.known.items(), self.limit // 2))
+        if len(self.known) + len(values) <= self.limit:
+            self.known.update(values)
+        return values
+
+    def of(self, wanted: list) -> list:
+        """The values of the wanted pieces, in order."""
+        found = list(map(self.known.get, wanted))
+        if None in found:
+            at = [i for i, x in enumerate(found) if x is None]
+            values = self.learn(list({wanted[i] for i in at}))
+            for i in at:
+                found[i] = values[wanted[i]]
+        return found
 
 
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -28,8 +28,6 @@ by ``keep_first``; an empty table gives an empty result."""
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +40,6 @@ SHINGLE, NUMERATOR, BLOCK, SKETCH = 4, 85, 1024, 16
 #: Different texts that may be broadcast as ids of eight bytes; beyond it they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 
 
 def overlap(n: int) -> int:
@@ -76,13 +73,10 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 
 def shingles(text: str | None) -> np.ndarray:
     """The sorted set of shingle hashes."""
-    words = [w for w in _SPACES.split(text.encode("utf-8", "surrogatepass").translate(_LOWER)) if w] if text else []
+    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    found = list(map(_WORDS.known.get, words))
-    if None in found:
-        found = list(map(_WORDS.load(words).__getitem__, words))
-    h = np.array(found, np.uint64)
+    h = np.array(_WORDS.of(words), np.uint64)
     n = min(SHINGLE, len(h))
     out = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):

@@ -66,14 +66,20 @@ class Counter:
 
         self.tok, self.split, self.whole = load_tokenizer(path), regex.compile(pattern), whole
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.merged = WordCache(lambda words: [len(e.ids) for e in self.tok.encode_batch(words, add_special_tokens=False)])
+        self.chars = {b: c for c, b in byte_chars().items()}
+        self.merged = WordCache(self.merge)
         self.heads = WordCache(self.of_parts, 100_000)
         self.rest = WordCache(lambda words: self.of_parts([" " + w for w in words]))
 
+    def merge(self, words: list[str]) -> list[int]:
+        """Tokens of pre-tokens by the library's own merges over their bytes."""
+        return [len(self.tok.model.tokenize("".join(map(self.chars.__getitem__, w.encode())))) for w in words]
+
     def of_parts(self, parts: list[str]) -> list[int]:
         """Tokens of texts that encode by themselves: whole tokens count one, the rest is merged."""
         split = [self.split.findall(p) for p in parts]
-        known = self.merged.load(t for s in split for t in s if t not in self.whole)
+        rest = list({t for s in split for t in s if t not in self.whole})
+        known = dict(zip(rest, self.merged.of(rest), strict=True))
         return [sum(1 if t in self.whole else known[t] for t in s) for s in split]
 
     def count(self, texts: list[str]) -> list[int]:
@@ -85,17 +91,18 @@ class Counter:
             else:
                 cut.append((i, *pieces(text)))
         for i, head, rest in cut:
-            n = self.heads.load([head])[head] if head else 0
-            found = list(map(self.rest.known.get, rest))
-            if None in found:
-                found = list(map(self.rest.load(rest).__getitem__, rest))
-            counts[i] = n + sum(found)
+            counts[i] = sum(self.rest.of(rest)) + (self.heads.of([head])[0] if head else 0)
         return counts
 
 
 _COUNTERS: dict[tuple, Counter] = {}
 
 
+def worker_counter(path: str, pattern: str, whole: frozenset[str]) -> Counter:
+    """The worker's own counter; it lives as long as the worker."""
+    return _COUNTERS.get((path, pattern)) or _COUNTERS.setdefault((path, pattern), Counter(path, pattern, whole))
+
+
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text."""
     spark = docs.sparkSession
@@ -103,7 +110,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512) ->
     shared = spark.sparkContext.broadcast(whole_tokens(path, pattern))
 
     def run(batches):
-        counter = _COUNTERS.get((path, pattern)) or _COUNTERS.setdefault((path, pattern), Counter(path, pattern, shared.value))
+        counter = worker_counter(path, pattern, shared.value)
         for b in batches:
             texts = [x or "" for x in b.column("text").to_pylist()]
             counts = counter.count(texts)
