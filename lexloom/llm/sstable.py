@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WordCache, batch, filesystem, fresh_path, materialise, small_batches
-from .token_counts import load_tokenizer
+from .token_counts import byte_chars, load_tokenizer
 
 MAGIC = b"LXSST\x00\x01\n"
 FOOTER = struct.Struct("<QQQQIIQQI8s")
@@ -190,33 +192,60 @@ class Reader:
         self.file.close()
 
 
+#: Words of printable ASCII and accented Latin letters: nothing in them composes or folds unusually.
+_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: The vocabulary's pre-token pattern for such words in lower case.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
 class WordIds:
     """Token ids of whole texts, by cached white-space-separated words.
 
     The vocabulary's normaliser turns white space into spaces and the pre-tokens never cross them,
-    so words encode alone as in the text; a text with a special string, or with one of the four
-    control signs that Python alone counts as white space, goes to the library whole."""
+    so words encode alone as in the text.  Plain words are cut into their pre-tokens here and the
+    library's model merges each; all other words go through the library's whole pipeline.  A text
+    with a special string, or with one of the four control signs that Python alone counts as white
+    space, goes to the library whole."""
 
     def __init__(self, path: str):
         self.tok = load_tokenizer(path)
+        self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
-        kind = f"<u{self.width}"
-        self.words = WordCache(lambda words: [np.array(e.ids, kind).tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False)], 1_000_000)
+        self.code = "H" if self.width == 2 else "I"
+        chars = {b: c for c, b in byte_chars().items()}
+        self.bytes = {i: "".join(chars[b] for b in chr(i).encode()) for i in range(0x21, 0x100)}
+        self.parts = WordCache(lambda parts: [self.packed([t.id for t in self.model.tokenize(p.translate(self.bytes))]) for p in parts])
+        self.words = WordCache(self.fill)
+
+    def packed(self, ids: list[int]) -> bytes:
+        data = array(self.code, ids)
+        if sys.byteorder == "big":
+            data.byteswap()
+        return data.tobytes()
+
+    def fill(self, words: list[str]) -> list[bytes]:
+        plain = [_PARTS.findall(w.lower()) if _PLAIN.fullmatch(w) else None for w in words]
+        every = list({p for parts in plain if parts for p in parts})
+        known = dict(zip(every, self.parts.of(every), strict=True))
+        other = iter(self.tok.encode_batch_fast([w for w, p in zip(words, plain, strict=True) if p is None], add_special_tokens=False))
+        return [b"".join(map(known.__getitem__, p)) if p is not None else self.packed(next(other).ids) for p in plain]
 
     def encode(self, text: str) -> bytes:
-        """The ids as bytes of the format's width."""
+        """The ids as little-endian bytes of the format's width."""
         if any(s in text for s in self.special) or _SEPARATORS.search(text):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
-        words = text.split()
-        found = list(map(self.words.known.get, words))
-        if None in found:
-            found = list(map(self.words.load(words).__getitem__, words))
-        return b"".join(found)
+            return self.packed(self.tok.encode(text, add_special_tokens=False).ids)
+        return b"".join(self.words.of(text.split()))
 
 
 _ENCODERS: dict[str, WordIds] = {}
 
+
+def encoder(path: str) -> WordIds:
+    """The worker's own encoder; it lives as long as the worker."""
+    return _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordIds(path))
+
+
 MANIFEST = pa.schema([("path", pa.string()), ("low", pa.int64()), ("high", pa.int64()), ("rows", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
 
 
@@ -230,7 +259,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
     def run(batches):
         import uuid
 
-        own = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, WordIds(tokenizer))
+        own = encoder(tokenizer)
         end = np.array([end_id], f"<u{own.width}").tobytes()
         fs, base = filesystem(folder)
         fs.create_dir(base, recursive=True)
