@@ -83,6 +83,14 @@ class WordCache:
         return found
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 

@@ -34,14 +34,14 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 7, bucket_rows: in
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and source of every row."""
     total = docs.count()  # from the files' footers
     buckets = max(1, total // bucket_rows)
-    unit: Column = F.shiftrightunsigned(F.col("_hash"), 11) / F.lit(float(1 << 53))
+    unit: Column = F.shiftright("_hash", 10) / F.lit(float(1 << 53))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.coalesce("source", F.lit("")).alias("source"),
     )
-    rows = rows.withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size")).withColumn("_bucket", F.floor(unit * buckets))
+    rows = rows.withColumn("_hash", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"), 1)).withColumn("_bucket", F.floor(unit * buckets))
     ranked = _ranked(rows, ["source"], "_bucket", ["_hash", "doc_id", "text_crc32", "size"], "_rank")
     sizes = rows.groupBy("source").agg(F.count("*").alias("_of"))
     placed = ranked.join(sizes, "source").withColumn("_share", (F.col("_rank") + 0.5) / F.col("_of"))

@@ -279,5 +279,5 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """The documents, all columns, one of each component: that with the component's id.
 
     Rows that repeat a doc_id are one document; rows with a null id all stay."""
-    first = link(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(first, F.col("doc_id") == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id is null"))
+    first = link(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id is null"))

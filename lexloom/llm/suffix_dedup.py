@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fresh_path, materialise, small_batches
+from .common import batch, fresh_path, materialise, small_batches, unused
 
 LENGTH, GRAM, STEP = 400, 12, 8
 
@@ -266,9 +266,10 @@ def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with repeated passages cut out of the text and n_chars, if there, counted anew.
 
     A character that loses some of its bytes goes with them."""
-    kept = cut(docs, length, with_text=True).where("kept is not null").select(F.col("tid").alias("_tid"), F.col("kept").alias("_kept"))
-    out = docs.withColumn("_tid", F.xxhash64("text")).join(kept, "_tid", "left")
-    columns = {"text": F.coalesce("_kept", "text").alias("text")}
+    key, new = unused(docs, "_tid"), unused(docs, "_new_text")
+    kept = cut(docs, length, with_text=True).where("kept is not null").select(F.col("tid").alias(key), F.col("kept").alias(new))
+    out = docs.withColumn(key, F.xxhash64("text")).join(kept, key, "left")
+    columns = {"text": F.coalesce(new, "text").alias("text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+        columns["n_chars"] = F.when(F.col(new).isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType).alias("n_chars")
     return out.select(*[columns.get(c, F.col(f"`{c}`")) for c in docs.columns])
