@@ -117,9 +117,9 @@ class Codec:
 
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.binary = {i: b for b, i in ranks.items()}
-        self.words = WordCache(lambda words: [fold_merges(w.encode(), ranks) for w in words])
-        self.heads = WordCache(self.of_parts, 50_000)
-        self.rest = WordCache(lambda words: self.of_parts([" " + w for w in words]), 400_000)
+        self.words = WordCache(lambda words: [fold_merges(w.encode(), ranks) for w in words], 200_000)
+        self.heads = WordCache(self.of_parts, 20_000)
+        self.rest = WordCache(lambda words: self.of_parts([" " + w for w in words]), 250_000)
 
     def of_parts(self, parts: list[str]) -> list[tuple[int, str, bytes]]:
         """(number of ids, ids in decimal, decoded bytes) of texts that encode by themselves."""

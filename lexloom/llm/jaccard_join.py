@@ -67,7 +67,7 @@ def _word_hashes(words: list[bytes]) -> list[int]:
     return [xxh3_64_intdigest(w) for w in words]
 
 
-_WORDS = WordCache(_word_hashes, 500_000)
+_WORDS = WordCache(_word_hashes, 200_000)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
