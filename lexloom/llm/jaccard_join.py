@@ -260,6 +260,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         node = labels.select(F.col("node").alias("tid"), "label")
         labelled = postings.select("token", "tid").join(node, "tid", "left").select("token", "tid", F.coalesce("label", "tid").alias("label"))
         found = materialise(_verified(_across(labelled, sets, nearest), sets), "jaccard-across")
+        if found.isEmpty():
+            continue
         labels = materialise(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)), "jaccard-components")
     return tokens.select("tid", "n"), labels
 
