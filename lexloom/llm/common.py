@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from itertools import islice
 
 import pyarrow as pa
@@ -33,9 +35,30 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables materialised inside when it ends, but for those to keep.
+
+    Nothing that is read from them may leave unless it was materialised with ``keep``."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for x in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(x)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
+    if not keep and (paths := _SCRATCH.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, batch, materialise, small_batches
+from .common import WordCache, batch, materialise, scratch, small_batches
 from .graph import components
 
 SHINGLE, NUMERATOR, BLOCK, SKETCH = 4, 85, 1024, 16
@@ -268,11 +268,12 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every whole text."""
-    tokens, labels = links(docs)
-    keyed = docs.select(F.col("doc_id").cast("long"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("tid"))
-    known = tokens.join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("tid", "n", F.coalesce("label", "tid").alias("label"))
-    placed = keyed.join(known, "tid", "left")
-    placed = materialise(placed.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), "label"), "jaccard-placed")
+    with scratch(docs.sparkSession):
+        tokens, labels = links(docs)
+        keyed = docs.select(F.col("doc_id").cast("long"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("tid"))
+        known = tokens.join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("tid", "n", F.coalesce("label", "tid").alias("label"))
+        placed = keyed.join(known, "tid", "left")
+        placed = materialise(placed.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), "label"), "jaccard-placed", keep=True)
     names = placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("first"))
     return placed.join(names, "label", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 
