@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, batch, materialise, scratch, small_batches
+from .common import WordCache, batch, materialise, scratch, small_batches, unused
 from .graph import components
 
 SHINGLE, NUMERATOR, BLOCK, SKETCH = 4, 85, 1024, 16
@@ -279,8 +279,26 @@ def link(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, one of each component: that with the component's id.
-
-    Rows that repeat a doc_id are one document; rows with a null id all stay."""
-    first = link(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The documents, all columns, exactly one row of each component: that with the component's id.
+
+    Rows that repeat an id and a text are one; a row with a null id stays only where its component
+    has no other id.  Texts without words stand alone, and of these rows with a null id all stay."""
+    spark = docs.sparkSession
+    doc, key = unused(docs, "_doc"), unused(docs, "_tid")
+    keyed = docs.withColumn(doc, F.col("doc_id").cast("long")).withColumn(key, F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    with scratch(spark):
+        tokens, labels = links(docs)
+        known = tokens.join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("tid", F.coalesce("label", "tid").alias("label"))
+        groups = keyed.select(F.col(doc).alias("doc"), F.col(key).alias("tid")).groupBy("doc", "tid").agg(F.count("*").alias("rows")).join(known, "tid", "left")
+        firsts = groups.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "tid", "rows")).alias("f")).select("f.doc", "f.tid", "f.rows")
+        alone = groups.where("label is null").select("doc", "tid", F.when(F.col("doc").isNull(), 1).otherwise(F.col("rows")).alias("rows"))
+        chosen = materialise(firsts.unionByName(alone), "jaccard-chosen", keep=True)
+
+    def those(wanted: DataFrame) -> DataFrame:
+        return keyed.join(wanted, keyed[doc].eqNullSafe(wanted["doc"]) & keyed[key].eqNullSafe(wanted["tid"]), "left_semi")
+
+    out, repeated = those(chosen.where("rows = 1")).select(docs.columns), chosen.where("rows > 1")
+    if again := repeated.count():
+        few = those(F.broadcast(repeated) if again <= BROADCAST_IDS else repeated)
+        out = out.unionByName(few.dropDuplicates([doc, key]).select(docs.columns))
+    return out

@@ -128,6 +128,15 @@ def test_jaccard_join_awkward(spark):
     assert jaccard_join.link(df.limit(0)).count() == 0
 
 
+def test_keep_first_keeps_one_row(spark):
+    a, b = " ".join(f"w{i}" for i in range(120)), " ".join(f"v{i}" for i in range(90))
+    near = a.replace("w60", "x")
+    rows = [(1, a), (1, a), (2, near), (None, near), (None, a), (None, b), (None, b), (3, None), (3, None), (None, ""), (None, ""), (4, "lone"), (4, "other")]
+    kept = jaccard_join.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(1, a), (None, b), (3, None), (None, ""), (None, ""), (4, "lone"), (4, "other")]
+    assert collections.Counter(tuple(r) for r in kept) == collections.Counter(want)
+
+
 def test_prefix_guarantees():
     for n in range(1, 400):
         assert jaccard_join.extra(n) <= jaccard_join.overlap(n) and jaccard_join.prefix_size(n) <= n
