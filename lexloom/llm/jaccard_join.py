@@ -1,7 +1,7 @@
 """Operator 10: exact n-gram Jaccard join with several global token orders.
 
-Sets: the distinct 4-word shingles of a text (64-bit hashes).  Two texts link at Jaccard >= 85/100,
-so they share at least ``o`` shingles, and under any global order of shingles the first n - o + l
+Sets: the distinct 4-word shingles of a text (64-bit hashes).  Two texts link at Jaccard >= 85/100
+(``links`` and ``keep_first`` take other lengths and thresholds), so they share at least ``o`` shingles, and under any global order of shingles the first n - o + l
 of each hold at least l common ones.  The filters, each from its own order:
 
 1. Hash order, l-prefix (l = n / 20): only prefix shingles are shuffled.  Those that a second text has
@@ -42,9 +42,9 @@ BROADCAST_IDS = 1_000_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def overlap(n: int) -> int:
+def overlap(n: int, numerator: int = NUMERATOR) -> int:
     """Shingles that a set of n shares with any partner, at least."""
-    return (NUMERATOR * n + 99) // 100
+    return (numerator * n + 99) // 100
 
 
 def extra(n: int) -> int:
@@ -52,13 +52,13 @@ def extra(n: int) -> int:
     return max(1, n // 20)
 
 
-def required(n: int) -> int:
+def required(n: int, numerator: int = NUMERATOR) -> int:
     """Common prefix shingles with the smallest possible partner."""
-    return extra(overlap(n))
+    return extra(overlap(n, numerator))
 
 
-def prefix_size(n: int) -> int:
-    return n - overlap(n) + extra(n)
+def prefix_size(n: int, numerator: int = NUMERATOR) -> int:
+    return n - overlap(n, numerator) + extra(n)
 
 
 def _word_hashes(words: list[bytes]) -> list[int]:
@@ -71,16 +71,16 @@ _WORDS = WordCache(_word_hashes, 200_000)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """The sorted set of shingle hashes."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
     h = np.array(_WORDS.of(words), np.uint64)
-    n = min(SHINGLE, len(h))
+    n = min(size, len(h))
     out = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):
-        out = (out ^ h[i : len(h) - n + 1 + i]) * _ODD[i]
+        out = (out ^ h[i : len(h) - n + 1 + i]) * _ODD[i % len(_ODD)]
         out ^= out >> np.uint64(31)
     return np.unique(out)
 
@@ -91,13 +91,13 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
-def _tokens(docs: DataFrame) -> DataFrame:
+def _tokens(docs: DataFrame, size: int, numerator: int) -> DataFrame:
     """(tid, n, prefix), one row per different text with words: the l-prefix under hash order."""
     out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in batches:
-            rows = [(tid, len(s), s[: prefix_size(len(s))].view(np.int64)) for tid, text in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), strict=True) if len(s := shingles(text))]
+            rows = [(tid, len(s), s[: prefix_size(len(s), numerator)].view(np.int64)) for tid, text in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), strict=True) if len(s := shingles(text, size))]
             tid, n, prefix = zip(*rows, strict=True) if rows else ((), (), ())
             yield batch(out, tid=tid, n=n, prefix=prefix)
 
@@ -105,13 +105,13 @@ def _tokens(docs: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "tid long, n int, prefix array<long>").dropDuplicates(["tid"])
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(tid, n, tokens, sketch) of the wanted texts."""
     out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary())])
 
     def run(batches):
         for b in batches:
-            rows = [(tid, len(s), s.tobytes(), sketch(s).tobytes()) for tid, s in zip(b.column("tid").to_pylist(), map(shingles, b.column("text").to_pylist()), strict=True)]
+            rows = [(tid, len(s), s.tobytes(), sketch(s).tobytes()) for tid, s in zip(b.column("tid").to_pylist(), (shingles(x, size) for x in b.column("text").to_pylist()), strict=True)]
             tid, n, tokens, sk = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield batch(out, tid=tid, n=n, tokens=tokens, sketch=sk)
 
@@ -121,25 +121,25 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "tid long, n int, tokens binary, sketch binary").dropDuplicates(["tid"])
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+def _linked(x: np.ndarray, y: np.ndarray, numerator: int) -> bool:
     """Third order, then the whole sets."""
     small, large = sorted((len(x), len(y)))
-    if 100 * small < NUMERATOR * large:
+    if 100 * small < numerator * large:
         return False
-    tail_x, tail_y = x[overlap(len(x)) - 1 :], y[overlap(len(y)) - 1 :]
+    tail_x, tail_y = x[overlap(len(x), numerator) - 1 :], y[overlap(len(y), numerator) - 1 :]
     if not len(np.intersect1d(tail_x, tail_y, assume_unique=True)):
         return False
     common = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * common >= NUMERATOR * (len(x) + len(y) - common)
+    return 100 * common >= numerator * (len(x) + len(y) - common)
 
 
-def _may_link(n: np.ndarray, m: int, differ: np.ndarray) -> np.ndarray:
+def _may_link(n: np.ndarray, m: int, differ: np.ndarray, numerator: int) -> np.ndarray:
     """False only where sizes or sketches prove that two sets do not link."""
-    least = -(-NUMERATOR * (n + m) // (100 + NUMERATOR))
-    return (differ <= n + m - 2 * least) & (100 * np.minimum(n, m) >= NUMERATOR * np.maximum(n, m))
+    least = -(-numerator * (n + m) // (100 + numerator))
+    return (differ <= n + m - 2 * least) & (100 * np.minimum(n, m) >= numerator * np.maximum(n, m))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
     """The pairs (a, b) that link: by sketches first, then on whole sets."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -147,12 +147,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             n, m = (b.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH) for c in ("sketch", "other"))
-            keep = _may_link(n, m, np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) if len(n) else np.zeros(0, bool)
+            keep = _may_link(n, m, np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64), numerator) if len(n) else np.zeros(0, bool)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def exact(batches):
         for b in batches:
-            keep = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(b.column("tokens").to_pylist(), b.column("other").to_pylist(), strict=True)]
+            keep = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), numerator) for x, y in zip(b.column("tokens").to_pylist(), b.column("other").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], schema=out).filter(pa.array(keep, pa.bool_()))
 
     def sided(name: str):
@@ -166,7 +166,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return few.join(own, "a").join(other, "b").select("a", "b", "tokens", "other").mapInArrow(exact, "a long, b long")
 
 
-def _across(postings: DataFrame, sets: DataFrame, nearest: bool = False) -> DataFrame:
+def _across(postings: DataFrame, sets: DataFrame, numerator: int, nearest: bool = False) -> DataFrame:
     """Pairs (a, b) of one posting list and different components that may link.
 
     nearest: only the likeliest partner of each text outside the list's largest component, which is
@@ -195,7 +195,7 @@ def _across(postings: DataFrame, sets: DataFrame, nearest: bool = False) -> Data
             if not len(at):
                 continue
             differ = np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64)
-            may = _may_link(n[at], int(n[k]), differ)
+            may = _may_link(n[at], int(n[k]), differ, numerator)
             at, spare = at[may], (n[at] + n[k] - differ)[may] * 1000 // (n[at] + n[k])[may]
             if not nearest:
                 for x in tid[at].tolist():
@@ -237,29 +237,29 @@ def _across(postings: DataFrame, sets: DataFrame, nearest: bool = False) -> Data
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR) -> tuple[DataFrame, DataFrame]:
     """(tokens, labels): (tid, n) of every different text, and (node, label) of the linked ones."""
     small_batches(docs.sparkSession)
-    tokens = materialise(_tokens(docs), "jaccard-prefixes")
+    tokens = materialise(_tokens(docs, size, numerator), "jaccard-prefixes")
     rows = tokens.select("tid", "n", F.explode("prefix").alias("token"))
     shared = tokens.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     kept = materialise(rows.join(shared, "token"), "jaccard-shared")
-    need = F.greatest(F.lit(1), F.expr("((85 * n + 99) div 100) div 20"))
+    need = F.greatest(F.lit(1), F.expr(f"(({numerator} * n + 99) div 100) div 20"))
     lists = kept.groupBy("tid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_rarity"))
     lists = lists.withColumn("need", need).where(F.size("by_rarity") >= F.col("need"))
     central = F.expr("-((1000 * size(by_rarity)) div n)")
     postings = lists.select("tid", "n", central.alias("rank"), F.explode(F.expr("slice(by_rarity, 1, cast(size(by_rarity) - need + 1 as int))")).alias("t")).select("tid", "n", "rank", F.col("t.token").alias("token"))
     alive = postings.groupBy("token").count().where("count > 1").select("token")
     postings = materialise(postings.join(alive, "token", "left_semi"), "jaccard-postings")
-    sets = materialise(_sets(docs, postings.select("tid").distinct()), "jaccard-sets")
+    sets = materialise(_sets(docs, postings.select("tid").distinct(), size), "jaccard-sets")
     leaders = postings.groupBy("token").agg(F.min(F.struct("rank", "tid")).alias("lead"), F.first("n").alias("_"))
     stars = postings.join(leaders, "token").where("tid <> lead.tid").select(F.greatest("tid", "lead.tid").alias("a"), F.least("tid", "lead.tid").alias("b")).distinct()
-    first = materialise(_verified(stars, sets), "jaccard-stars")
+    first = materialise(_verified(stars, sets, numerator), "jaccard-stars")
     labels = materialise(components(first), "jaccard-components")
     for nearest in (True, False):
         node = labels.select(F.col("node").alias("tid"), "label")
         labelled = postings.select("token", "tid").join(node, "tid", "left").select("token", "tid", F.coalesce("label", "tid").alias("label"))
-        found = materialise(_verified(_across(labelled, sets, nearest), sets), "jaccard-across")
+        found = materialise(_verified(_across(labelled, sets, numerator, nearest), sets, numerator), "jaccard-across")
         if found.isEmpty():
             continue
         labels = materialise(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)), "jaccard-components")
@@ -278,7 +278,7 @@ def link(docs: DataFrame) -> DataFrame:
     return placed.join(names, "label", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR) -> DataFrame:
     """The documents, all columns, exactly one row of each component: that with the component's id.
 
     Rows that repeat an id and a text are one; a row with a null id stays only where its component
@@ -287,7 +287,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     doc, key = unused(docs, "_doc"), unused(docs, "_tid")
     keyed = docs.withColumn(doc, F.col("doc_id").cast("long")).withColumn(key, F.when(F.col("text").isNotNull(), F.xxhash64("text")))
     with scratch(spark):
-        tokens, labels = links(docs)
+        tokens, labels = links(docs, size, numerator)
         known = tokens.join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("tid", F.coalesce("label", "tid").alias("label"))
         groups = keyed.select(F.col(doc).alias("doc"), F.col(key).alias("tid")).groupBy("doc", "tid").agg(F.count("*").alias("rows")).join(known, "tid", "left")
         firsts = groups.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "tid", "rows")).alias("f")).select("f.doc", "f.tid", "f.rows")
