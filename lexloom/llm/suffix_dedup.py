@@ -29,16 +29,19 @@ blocks, and what is gathered per text is bounded by its own length."""
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fresh_path, materialise, small_batches, unused
+from .common import batch, fresh_path, materialise, scratch, small_batches, unused
 
-LENGTH, GRAM, STEP = 400, 12, 8
+LENGTH, GRAM, STEP, WORD = 400, 12, 8, 8
+_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _stretch(length: int) -> int:
@@ -105,7 +108,20 @@ def _signed(hashes: list[int]) -> np.ndarray:
     return np.array(hashes, np.uint64).view(np.int64)
 
 
-def first_items(texts: DataFrame, length: int) -> DataFrame:
+def encoded(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def word_stream(text: str) -> bytes:
+    """The text's words as hashes of WORD bytes each: k words that repeat are WORD * k bytes that repeat."""
+    from xxhash import xxh3_64_intdigest as digest
+
+    words = _WORDS.findall(encoded(text))
+    known = {w: digest(w) for w in set(words)}
+    return np.array([known[w] for w in words], np.uint64).tobytes()
+
+
+def first_items(texts: DataFrame, length: int, data_of: Callable[[str], bytes] = encoded) -> DataFrame:
     """(core, cover, tid, at, near, far): one row per anchor with windows."""
     out = pa.schema([("core", pa.int64()), ("cover", pa.int64()), ("tid", pa.int64()), ("at", pa.int32()), ("near", pa.int16()), ("far", pa.int16())])
 
@@ -116,7 +132,7 @@ def first_items(texts: DataFrame, length: int) -> DataFrame:
         for b in batches:
             cores, covers, tids, ats, nears, fars = [], [], [], [], [], []
             for tid, text in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
+                data = data_of(text)
                 at, near, far = cells.of(data)
                 if not len(at):
                     continue
@@ -139,7 +155,7 @@ def first_items(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("tid", "text").mapInArrow(run, "core long, cover long, tid long, at int, near short, far short")
 
 
-def next_items(cells: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+def next_items(cells: DataFrame, texts: DataFrame, length: int, data_of: Callable[[str], bytes] = encoded) -> DataFrame:
     """(core, left, right, valid, tid, base): STEP windows each, for the cells that go on.
 
     Window u of an item starts u bytes before ``base``; it is the u bytes before the core, the core
@@ -152,7 +168,7 @@ def next_items(cells: DataFrame, texts: DataFrame, length: int) -> DataFrame:
 
         for b in batches:
             for tid, text, spans in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
+                data = data_of(text)
                 rows = []
                 for s in spans:
                     p, near, far = s["at"], s["near"], s["far"]
@@ -191,25 +207,35 @@ def distinct_texts(docs: DataFrame, name: str) -> DataFrame:
     return spark.table(table)
 
 
-def covered(n: int, spans: list, length: int) -> np.ndarray:
-    """Sorted [lo, hi) removed runs from window starts (first, last)."""
+def word_runs(data: bytes, spans: list, words: int) -> list[tuple[int, int]]:
+    """The bytes [lo, hi) of repeated words from window starts (first, last) in the word stream."""
+    at = [m.span() for m in _WORDS.finditer(data)]
+    found = ((-(-s["low"] // WORD), s["high"] // WORD) for s in spans)  # windows that start inside a hash are none
+    return [(at[low][0], at[high + words - 1][1]) for low, high in found if low <= high]
+
+
+def covered(n: int, spans: list, length: int, more: list[tuple[int, int]] = ()) -> np.ndarray:
+    """Sorted [lo, hi) removed runs from window starts (first, last), and from more such runs."""
     steps = np.zeros(n + 1, np.int64)
     for s in spans:
         steps[s["low"]] += 1
         steps[s["high"] + length] -= 1
+    for lo, hi in more:
+        steps[lo] += 1
+        steps[hi] -= 1
     gone = (steps.cumsum()[:n] > 0).astype(np.int8)
     edges = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
     return edges.reshape(-1, 2)
 
 
-def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(texts: DataFrame, length: int = LENGTH, data_of: Callable[[str], bytes] = encoded) -> DataFrame:
     """(tid, spans): per text the ranges (low, high) of starts of windows that repeat elsewhere."""
-    items = first_items(texts, length)
+    items = first_items(texts, length, data_of)
     twice = items.groupBy("core").count().where("count > 1").select("core")
     items = materialise(items.join(twice, "core", "left_semi"), "suffix-items")
     done, going = settle(items, ["cover", "near", "far"], ["tid", "at"])
     spans = [done.select("tid", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near")).alias("high"))]
-    narrow = materialise(next_items(going, texts, length), "suffix-windows")
+    narrow = materialise(next_items(going, texts, length, data_of), "suffix-windows")
     done, going = settle(narrow, ["left", "right", "valid"], ["tid", "base"])
     first = F.floor(F.log2(F.col("valid").bitwiseAND(-F.col("valid"))) + 0.5).cast("int")
     last = F.floor(F.log2(F.col("valid").cast("double"))).cast("int")
@@ -229,18 +255,29 @@ def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 RESULT = pa.schema([("tid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
-def cut(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """Per different text: tid, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept text."""
+def cut(docs: DataFrame, length: int = LENGTH, with_text: bool = False, words: int = 0) -> DataFrame:
+    """Per different text: tid, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept text.
+
+    words: what repeats in so many words in a row goes as well, however short it is in bytes."""
     small_batches(docs.sparkSession)
     texts = distinct_texts(docs, "suffix_texts")
-    marked = texts.join(repeats(texts, length), "tid", "left")
+    if words:
+        found = []
+        for least, data_of in ((length, encoded), (WORD * words, word_stream)):
+            with scratch(docs.sparkSession):
+                found.append(materialise(repeats(texts, least, data_of), "suffix-spans", keep=True))
+        marked = texts.join(found[0], "tid", "left").join(found[1].withColumnRenamed("spans", "runs"), "tid", "left")
+    else:
+        marked = texts.join(repeats(texts, length), "tid", "left")
+    columns = ["tid", "text", "copies", "spans", *["runs"] * bool(words)]
 
     def run(batches):
         for b in batches:
             rows = []
-            for tid, text, copies, spans in zip(*(b.column(c).to_pylist() for c in ("tid", "text", "copies", "spans")), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                runs = [[0, len(data)]] if copies > 1 and len(data) >= length else covered(len(data), spans or [], length).tolist()
+            for tid, text, copies, spans, *more in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
+                data = encoded(text)
+                whole = copies > 1 and (len(data) >= length or words and len(_WORDS.findall(data)) >= words)
+                runs = [[0, len(data)]] if whole else covered(len(data), spans or [], length, word_runs(data, more[0], words) if words and more[0] else ()).tolist()
                 left, at = [], 0
                 for lo, hi in runs:
                     left.append(data[at:lo])
@@ -250,7 +287,7 @@ def cut(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataF
             cols = list(zip(*rows, strict=True)) or [()] * 6
             yield batch(RESULT, **dict(zip(RESULT.names, cols, strict=True)))
 
-    return marked.select("tid", "text", "copies", "spans").mapInArrow(run, "tid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return marked.select(*columns).mapInArrow(run, "tid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -262,12 +299,13 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.select("doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.coalesce("kept_sha256", empty).alias("kept_sha256"))
 
 
-def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def strip(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
     """The documents with repeated passages cut out of the text and n_chars, if there, counted anew.
 
+    words: passages of so many words go too, from their first word to their last.
     A character that loses some of its bytes goes with them."""
     key, new = unused(docs, "_tid"), unused(docs, "_new_text")
-    kept = cut(docs, length, with_text=True).where("kept is not null").select(F.col("tid").alias(key), F.col("kept").alias(new))
+    kept = cut(docs, length, with_text=True, words=words).where("kept is not null").select(F.col("tid").alias(key), F.col("kept").alias(new))
     out = docs.withColumn(key, F.xxhash64("text")).join(kept, key, "left")
     columns = {"text": F.coalesce(new, "text").alias("text")}
     if "n_chars" in docs.columns:
