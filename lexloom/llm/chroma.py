@@ -12,8 +12,9 @@ recordings with equal codes are one class; a class's ``ANCHORS`` smallest hashed
 anchors, and per anchor every class is aligned with the leader (least document id) of the classes
 that hold it.  That is at most ``ANCHORS`` alignments per class whatever the size of a group.
 
-Defined cases: a null or empty recording, or one too short for a filter, has no codes, is its own
-class and matches nothing; repeated rows share a class; other columns are ignored; an empty table
+Defined cases: a null or empty recording has no codes, is its own class and matches nothing; one too
+short for a filter (under 608 samples) has no codes, shares a class with recordings of the same
+samples and is aligned with nothing; repeated rows share a class; other columns are ignored; an empty table
 gives an empty result; long recordings are transformed in blocks."""
 
 from __future__ import annotations
@@ -144,7 +145,7 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
 
 
 def fingerprints(media: DataFrame, column: str, bits: int = 8) -> DataFrame:
-    """doc_id, n_frames, n_codes, codes_crc32, digest (null without codes), codes, anchors."""
+    """doc_id, n_frames, n_codes, codes_crc32, digest (of the samples where there are no codes; null without samples), codes, anchors."""
     small_batches(media.sparkSession)
     out = pa.schema([("doc_id", pa.int64()), ("n_frames", pa.int64()), ("n_codes", pa.int64()), ("codes_crc32", pa.int64()), ("digest", pa.binary()), ("codes", pa.binary()), ("anchors", pa.list_(pa.int64()))])
 
@@ -155,8 +156,10 @@ def fingerprints(media: DataFrame, column: str, bits: int = 8) -> DataFrame:
             rows = []
             for pcm in b.column("pcm").to_pylist():
                 frames, codes = fingerprint(pcm, bits)
-                data = codes.astype("<u4").tobytes()
-                rows.append((frames, len(codes), zlib.crc32(data), xxhash.xxh3_128_digest(data) if data else None, data, anchors_of(codes)))
+                data, raw = codes.astype("<u4").tobytes(), pcm or b""
+                raw = raw[: len(raw) // (bits // 8) * (bits // 8)]
+                digest = xxhash.xxh3_128_digest(data) if data else xxhash.xxh3_128_digest(raw, 1) if raw else None
+                rows.append((frames, len(codes), zlib.crc32(data), digest, data, anchors_of(codes)))
             cols = list(zip(*rows, strict=True)) or [()] * 6
             yield batch(out, doc_id=b.column("doc_id"), n_frames=cols[0], n_codes=cols[1], codes_crc32=cols[2], digest=cols[3], codes=cols[4], anchors=cols[5])
 

@@ -230,6 +230,14 @@ def test_chroma(spark):
     assert chroma.align(x, y)[0] == max(votes.values())
 
 
+def test_chroma_classes_short_recordings(spark):
+    short = bytes(range(100, 200)) * 6
+    media = [(3, short), (1, short), (2, short[:-1]), (4, b"ab"), (5, b"ab"), (6, b""), (7, b""), (8, None), (9, short + bytes(8))]
+    got = {r["doc_id"]: r for r in chroma.match(spark.createDataFrame(media, "doc_id long, pcm binary"), "pcm").collect()}
+    assert {d: r["class_id"] for d, r in got.items()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8, 9: 9}
+    assert [got[d]["n_codes"] for d in (1, 3, 9)] == [0, 0, 1] and got[3]["match_id"] is None and not got[3]["aligned"]
+
+
 def test_ranks_file_is_whole():
     with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
         assert byte_bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")) == {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
