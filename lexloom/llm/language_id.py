@@ -152,12 +152,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
-    """The documents, all columns as they are, whose language is known with at least this score."""
+    """The documents, all columns as they are, whose language is known with at least this score.
+
+    Without a model (no labelled rows) no language can be told, and all with a letter stay."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for b in batches:
-            yield b.filter(pa.array([lang != "und" and score >= least for lang, score in shared.value.predict(b.column("text").to_pylist())], pa.bool_()))
+            texts = b.column("text").to_pylist()
+            keep = [lang != "und" and score >= least for lang, score in shared.value.predict(texts)] if shared.value.languages else map(has_letters, texts)
+            yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -83,3 +83,9 @@ def test_stage_cuts_repeats_by_words(spark):
     rows = documents(2)
     cut = corpus_pipeline.cut_repeats(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     assert sorted((r["doc_id"], r["text"] or "") for r in cut) == sorted(zip((r[0] for r in rows), brute_strip([r[1] for r in rows]), strict=True))
+
+
+def test_stage_without_labels_keeps_letters(spark):
+    rows = [(0, "some words", None), (1, "12 !", None), (2, "ж", None), (3, None, None), (4, "", None)]
+    kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
