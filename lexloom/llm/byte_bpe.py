@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordCache, batch, small_batches
+from .common import WordCache, batch, small_batches, worker_own
 from .pretokens import pieces
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -149,11 +149,8 @@ class Codec:
         return sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(binary)).hexdigest()
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
 def codec(path: str, pattern: str, ranks: dict[bytes, int] | None = None) -> Codec:
-    return _CODECS.get((path, pattern)) or _CODECS.setdefault((path, pattern), Codec(ranks or load_ranks(path), pattern))
+    return worker_own(("codec", path, pattern), lambda: Codec(ranks or load_ranks(path), pattern))
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -171,10 +168,10 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The documents with their token ids in a column ``token_ids``; a column of that name is replaced."""
+    """The documents with their token ids in a column ``token_ids``; a column of that name, whatever the case of its letters, is replaced."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load_ranks(path))
-    kept = [c for c in docs.columns if c != "token_ids"]
+    kept = [c for c in docs.columns if c.lower() != "token_ids"]
 
     def run(batches):
         own = codec(path, pattern, shared.value)
@@ -184,5 +181,5 @@ def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = pa.array([own.encode(x or "") for x in part.column("text").to_pylist()], type=pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "token_ids"])
 
-    schema = docs.select(*kept).schema.add("token_ids", T.ArrayType(T.IntegerType()))
-    return docs.select(*kept).mapInArrow(run, schema)
+    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("token_ids", T.ArrayType(T.IntegerType()))
+    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)

@@ -3,7 +3,6 @@ materialised tables, filesystem access that works for any store, and a worker-si
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -12,6 +11,7 @@ from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch.  Whole texts travel in these batches, so the number is small.
 ARROW_ROWS = 1000
@@ -22,12 +22,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; only where it is unset, one of our own."""
+    """The shared folder named in spark.checkpoint.dir, which every executor can reach."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='lexloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return found.rstrip("/")
 
 
@@ -35,37 +33,60 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+_SCRATCH: ContextVar[list[Callable[[], object]] | None] = ContextVar("scratch", default=None)
+
+
+def delete_path(spark: SparkSession, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def at_end(undo: Callable[[], object]) -> None:
+    """Have this called when the scratch ends that we are in, if any."""
+    if (undone := _SCRATCH.get()) is not None:
+        undone.append(undo)
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch() -> Iterator[None]:
     """Deletes the tables materialised inside when it ends, but for those to keep.
 
     Nothing that is read from them may leave unless it was materialised with ``keep``."""
-    paths: list[str] = []
-    token = _SCRATCH.set(paths)
+    undone: list[Callable[[], object]] = []
+    token = _SCRATCH.set(undone)
     try:
         yield
     finally:
         _SCRATCH.reset(token)
-        for x in paths:
-            path = spark._jvm.org.apache.hadoop.fs.Path(x)
-            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        for undo in undone:
+            undo()
 
 
 def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    if not keep and (paths := _SCRATCH.get()) is not None:
-        paths.append(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    if not keep:
+        at_end(lambda: delete_path(spark, path))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a few numbers each that may be broadcast; tables beyond it are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
 
+def members(df: DataFrame, wanted: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """The rows of df whose keys are in a materialised table: broadcast if it has few rows.
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the Arrow batches by rows; read when a plan is made."""
+    Beyond that both sides are plain shuffles, so adaptive execution can split a hot key."""
+    return df.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, keys, how)
+
+
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: str = "16m") -> None:
+    """Bound the Arrow batches of this session by rows and by bytes; read when a plan is made."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def filesystem(uri: str):
@@ -106,6 +127,18 @@ class WordCache:
         return found
 
 
+_OWN: dict[tuple, object] = {}
+
+
+def worker_own(key: tuple, make: Callable[[], object]):
+    """The worker's own tool with its memo.  It lives as long as the worker works for one operator:
+    the next operator's tool takes its place, so memos of several stages never add up."""
+    if key not in _OWN:
+        _OWN.clear()
+        _OWN[key] = make()
+    return _OWN[key]
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the table does not have yet, whatever the case of letters."""
     taken = {c.lower() for c in df.columns}

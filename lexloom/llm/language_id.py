@@ -76,26 +76,33 @@ def normalised(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
-def fit(samples: list[tuple[str, np.ndarray]], landmarks: int = 128, ridge: float = 1e-2) -> Model:
-    """Nyström features and one-versus-rest ridge regression; samples: (language, presence)."""
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(packed), np.uint8)).reshape(-1, 1 << BITS).astype(np.float32)
+
+
+def fit(samples: list[tuple[str, bytes]], landmarks: int = 128, ridge: float = 1e-2) -> Model:
+    """Nyström features and one-versus-rest ridge regression; samples: (language, packed presence).
+
+    Presence vectors are unpacked a block at a time; what is held is the sample in bits (2 KB a row),
+    the landmarks and one row of features per sample."""
     if not samples:
         return Model([], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0)))
-    languages = sorted({lang for lang, _ in samples})
-    x = np.stack([v for _, v in samples]).astype(np.float32)
+    names, packed = zip(*samples, strict=True)
+    languages = sorted(set(names))
     turns: dict[str, int] = {}
     order = []
-    for i, (lang, _) in enumerate(samples):  # landmarks are dealt to the languages in turn
+    for i, lang in enumerate(names):  # landmarks are dealt to the languages in turn
         turns[lang] = turns.get(lang, 0) + 1
         order.append((turns[lang], lang, i))
-    z = x[[i for *_, i in sorted(order)[:landmarks]]]
+    z = _unpacked([packed[i] for *_, i in sorted(order)[:landmarks]])
     zn = normalised(z)
     values, vectors = np.linalg.eigh((zn @ zn.T).astype(np.float64))
     keep = values > 1e-6 * values[-1]
     root = vectors[:, keep] / np.sqrt(values[keep])
-    features = (normalised(x) @ zn.T).astype(np.float64) @ root
-    y = np.where(np.array([lang for lang, _ in samples])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    each = 1 / np.array([max(1, sum(lang == x for lang, _ in samples)) for x in languages])
-    weight = np.array([each[languages.index(lang)] for lang, _ in samples])[:, None]  # languages count alike
+    kernel = [(normalised(_unpacked(packed[lo : lo + BLOCK])) @ zn.T).astype(np.float64) for lo in range(0, len(packed), BLOCK)]
+    features = np.concatenate(kernel) @ root
+    y = np.where(np.array(names)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
+    weight = 1 / np.array([turns[lang] for lang in names], np.float64)[:, None]  # languages count alike
     weight = weight / weight.mean()
     gram = features.T @ (features * weight) + ridge * len(samples) / 100 * np.eye(features.shape[1])
     return Model(languages, z, root @ np.linalg.solve(gram, features.T @ (y * weight)))
@@ -132,7 +139,7 @@ def train(docs: DataFrame, sample: int = 2000, landmarks: int = 128) -> Model:
 
     found = some.select("lang", "turn", "text").mapInArrow(run, "lang string, turn int, seen binary").collect()
     found.sort(key=lambda r: (r["lang"], r["turn"]))
-    return fit([(r["lang"], np.unpackbits(np.frombuffer(r["seen"], np.uint8))) for r in found], landmarks)
+    return fit([(r["lang"], bytes(r["seen"])) for r in found], landmarks)
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])

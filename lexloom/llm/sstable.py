@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordCache, batch, filesystem, fresh_path, materialise, small_batches
+from .common import WordCache, batch, filesystem, fresh_path, materialise, small_batches, worker_own
 from .token_counts import byte_chars, load_tokenizer
 
 MAGIC = b"LXSST\x00\x01\n"
@@ -238,12 +238,8 @@ class WordIds:
         return b"".join(self.words.of(text.split()))
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
-    """The worker's own encoder; it lives as long as the worker."""
-    return _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordIds(path))
+    return worker_own(("word ids", path), lambda: WordIds(path))
 
 
 MANIFEST = pa.schema([("path", pa.string()), ("low", pa.int64()), ("high", pa.int64()), ("rows", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])

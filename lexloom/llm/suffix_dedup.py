@@ -1,24 +1,27 @@
-"""Operator 3: exact duplicate passages by distributed prefix doubling over sampled suffixes.
-
-Wanted: every byte that lies in a ``length``-byte string which also starts anywhere else.
-
-The classic algorithm ranks all suffixes by their first k bytes, pairs the rank at i with the rank
-at i + k, sorts the pairs and ranks again, until ranks are unique or k passes the threshold.  Here
-the same rounds run on few suffixes:
-
-* Positions.  A 12-byte gram is an anchor if it is least, by hash, in some stretch of ``_stretch``
-  neighbouring grams.  Equal strings have equal anchors in their middle, so every window of
-  ``length`` bytes is dealt to the anchor nearest its centre and equal windows are dealt alike.
-* Ranks.  Texts are whole in a row, so the rank at i + k needs no shuffle: a prefix's rank is named
-  by the content's 64-bit hash where the text lies.  Only the re-ranking is a shuffle.
-* Rounds at growing lengths: 274 bytes around the anchor (what all its windows share), then 393
-  bytes (what eight neighbouring windows share), then the full 400.  In each round, items are
-  grouped by the pair (rank of the core, rank of its extension).  A core that is unique is done:
-  none of its windows repeats.  An extension that repeats has passed the threshold: all its windows
-  repeat.  Only the items between go on, with one witness for each repeated extension they meet.
-
-Spark pre-aggregates in every round, members of hot groups are found by joins that adaptive
-execution can split, and identical texts are collapsed first, so no group is ever gathered.
+"""Operator 3: exact duplicate passages by distributed prefix doubling over sampled positions.
+
+Wanted: every unit (byte or word) that lies in a window of ``length`` units which also starts
+anywhere else.
+
+The classic algorithm gives every position the rank of the first k units that start there, pairs the
+rank at i with the rank at i + k, sorts the pairs and ranks again, until ranks are unique or k passes
+the threshold.  Here the same rounds run on few positions:
+
+* Positions.  A gram is an anchor if it is least, by hash, in some stretch of ``_stretch``
+  neighbouring grams.  Equal strings have equal anchors in their middle, so every window is dealt to
+  the anchor nearest its centre, and equal windows are dealt alike.  What all windows of an anchor
+  share is its core (274 of 400 bytes, 35 of 51 words); the position is where the core starts.
+* Ranks are names: equal for equal content, 64-bit, made where the text lies.  They need no order
+  beyond equality, so Spark's shuffle of the position-rank pairs is the sort, and a group is a rank.
+* Rounds at growing offsets: k is half a core; then the pair (rank at i, rank at i + k), the whole
+  core; then the pair (rank of the core, rank of its extension by all that the anchor's windows
+  cover); for bytes then groups of ``step`` neighbouring windows; then single windows.  After every
+  round a position whose rank is unique is done: none of its windows repeats.  A rank past the
+  threshold that repeats is done as well: all its windows repeat.  Only the rest goes on.
+
+Hot ranks: Spark pre-aggregates every round, and the members of a repeated rank are found by joins
+with written tables, broadcast if short, else shuffled so that adaptive execution can split a hot
+key; identical texts are collapsed first, so no group is ever gathered.
 Texts are told apart by 64-bit hashes (one expected mistake at some 10^9.5 different texts).
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing; repeated rows and
@@ -31,40 +34,112 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, fresh_path, materialise, scratch, small_batches, unused
+from .common import at_end, batch, delete_path, fresh_path, materialise, members, scratch, small_batches, unused
 
-LENGTH, GRAM, STEP, WORD = 400, 12, 8, 8
+LENGTH = 400
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
-def _stretch(length: int) -> int:
-    """Grams in a stretch: three of them and two grams fit a window."""
-    return (length - 2 * GRAM) // 3
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ h >> np.uint64(32)
+    h *= _C
+    return h ^ h >> np.uint64(29)
 
 
-def anchors(data: bytes, stretch: int) -> np.ndarray:
-    """Positions of the grams that are least in some stretch of neighbouring grams."""
-    found, block = [], 1 << 20
-    for lo in range(0, max(1, len(data) - GRAM + 1), block):
-        first = max(0, lo - stretch + 1)
-        part = np.frombuffer(data, np.uint8, min(len(data), lo + block + stretch + GRAM) - first, first)
-        if len(part) < GRAM + stretch - 1:
-            continue
+class Bytes:
+    """The units are UTF-8 bytes; a gram is 12 of them."""
+
+    size, gram, step = 1, 12, 8
+
+    @staticmethod
+    def data(text: str) -> bytes:
+        return encoded(text)
+
+    @staticmethod
+    def grams(part: np.ndarray) -> np.ndarray:
         x = part.astype(np.uint64)
         x2 = x[:-1] | x[1:] << np.uint64(8)
         x4 = x2[:-2] | x2[2:] << np.uint64(16)
         x8 = x4[:-4] | x4[4:] << np.uint64(32)
-        h = x8[:-4] * np.uint64(0x9E3779B97F4A7C15)
-        h ^= x4[8:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = x8[:-4] * _A
+        h ^= x4[8:] * _B
         h ^= h >> np.uint64(32)
-        h = (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
+        return (h * _C >> np.uint64(32)).astype(np.uint32)
+
+
+class Words:
+    """The units are words, as hashes of eight bytes; a gram is two of them."""
+
+    size, gram, step = 8, 2, 1
+
+    @staticmethod
+    def data(text: str) -> bytes:
+        return word_hashes(encoded(text)).tobytes()
+
+    @staticmethod
+    def grams(part: np.ndarray) -> np.ndarray:
+        return (_mixed(part[:-1] * _A ^ part[1:] * _B) >> np.uint64(32)).astype(np.uint32)
+
+
+#: For each byte a fixed 64-bit value, by rule, and the odd base of a word's polynomial hash.
+_VALUE = _mixed((np.arange(1, 257, dtype=np.uint64) * _A) ^ _B)
+_BASE = np.uint64(0x165667B19E3779F9)
+_POWERS = np.concatenate(([np.uint64(1)], np.full(63, _BASE))).cumprod(dtype=np.uint64)
+
+
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-but-one byte of every word."""
+    inside = ~_SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of every word: a polynomial of its bytes, or xxh3 beyond 64 bytes."""
+    from xxhash import xxh3_64_intdigest as digest
+
+    out, block = [], 1 << 20
+    begin, end = word_bounds(data)
+    for lo in range(0, len(begin), block):
+        b, e = begin[lo : lo + block], end[lo : lo + block]
+        size = e - b
+        long = np.flatnonzero(size > 64)
+        first, size = b.copy(), np.minimum(size, 64)
+        total = size.cumsum()
+        starts = total - size
+        place = np.arange(total[-1]) - np.repeat(starts, size)
+        values = _VALUE[np.frombuffer(data, np.uint8)[np.repeat(first, size) + place]] * _POWERS[place]
+        h = _mixed(np.add.reduceat(values, starts) ^ size.astype(np.uint64) * _A)
+        for k in long.tolist():
+            h[k] = digest(data[b[k] : e[k]])
+        out.append(h)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _stretch(length: int, gram: int = Bytes.gram) -> int:
+    """Grams in a stretch: three of them and two grams fit a window."""
+    return (length - 2 * gram) // 3
+
+
+def anchors(data: bytes, stretch: int, units=Bytes) -> np.ndarray:
+    """Positions of the grams that are least in some stretch of neighbouring grams."""
+    found, block, gram = [], 1 << 20, units.gram
+    kind, total = (np.uint8, len(data)) if units.size == 1 else (np.uint64, len(data) // 8)
+    for lo in range(0, max(1, total - gram + 1), block):
+        first = max(0, lo - stretch + 1)
+        part = np.frombuffer(data, kind, min(total, lo + block + stretch + gram) - first, first * units.size)
+        if len(part) < gram + stretch - 1:
+            continue
+        h = units.grams(part)
         least = _sliding(h, stretch, np.minimum)
         n = len(h)
         padded = np.zeros(n + stretch - 1, np.uint32)  # stretches that hold a gram: those ending at or after it
@@ -85,24 +160,34 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
 class Cells:
     """The windows of a text, dealt to anchors; what the rounds need of each."""
 
-    def __init__(self, length: int = LENGTH):
-        self.length, self.stretch = length, _stretch(length)
-        self.centre = (length - GRAM + 1) // 2
+    def __init__(self, length: int = LENGTH, units=Bytes):
+        self.length, self.units, self.stretch = length, units, _stretch(length, units.gram)
+        if self.stretch < 1:
+            raise ValueError(f"windows of {length} units are too short")
+        self.centre = (length - units.gram + 1) // 2
         half = (self.stretch + 1) // 2
         self.near, self.far = self.centre - half, self.centre + half  # an anchor's distance from a window's start
+        self.offset = (length - self.far + self.near + 1) // 2  # half a core
 
     def of(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(anchor, least distance, greatest distance) of every anchor that has windows."""
-        if len(data) < self.length:
+        n = len(data) // self.units.size
+        if n < self.length:
             return (np.zeros(0, np.int64),) * 3
-        at = anchors(data, self.stretch)
+        at = anchors(data, self.stretch, self.units)
         bounds = (at[:-1] + at[1:]) // 2
         low = np.maximum(np.concatenate(([-1], bounds)) + 1 - self.centre, 0)  # first and last window start
-        high = np.minimum(np.concatenate((bounds, [len(data)])) - self.centre, len(data) - self.length)
+        high = np.minimum(np.concatenate((bounds, [n])) - self.centre, n - self.length)
         some = high >= low
         at, low, high = at[some], low[some], high[some]
         return at, at - high, at - low
 
+    def name(self, data: bytes, lo: int, hi: int, seed: int = 0) -> int:
+        """The rank of units lo to hi."""
+        from xxhash import xxh3_64_intdigest
+
+        return xxh3_64_intdigest(data[lo * self.units.size : hi * self.units.size], seed)
+
 
 def _signed(hashes: list[int]) -> np.ndarray:
     return np.array(hashes, np.uint64).view(np.int64)
@@ -112,85 +197,98 @@ def encoded(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
-def word_stream(text: str) -> bytes:
-    """The text's words as hashes of WORD bytes each: k words that repeat are WORD * k bytes that repeat."""
-    from xxhash import xxh3_64_intdigest as digest
-
-    words = _WORDS.findall(encoded(text))
-    known = {w: digest(w) for w in set(words)}
-    return np.array([known[w] for w in words], np.uint64).tobytes()
+def positions(texts: DataFrame, cells: Cells) -> DataFrame:
+    """(tid, ranks, places): per text its positions' ranks at half a core, and where they are.
 
-
-def first_items(texts: DataFrame, length: int, data_of: Callable[[str], bytes] = encoded) -> DataFrame:
-    """(core, cover, tid, at, near, far): one row per anchor with windows."""
-    out = pa.schema([("core", pa.int64()), ("cover", pa.int64()), ("tid", pa.int64()), ("at", pa.int32()), ("near", pa.int16()), ("far", pa.int16())])
+    A place is one number: the anchor, and the least and the greatest distance of its windows."""
+    out = pa.schema([("tid", pa.int64()), ("ranks", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))])
 
     def run(batches):
-        from xxhash import xxh3_64_intdigest as digest
-
-        cells = Cells(length)
         for b in batches:
-            cores, covers, tids, ats, nears, fars = [], [], [], [], [], []
+            tids, ranks, places = [], [], []
             for tid, text in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), strict=True):
-                data = data_of(text)
+                data = cells.units.data(text)
                 at, near, far = cells.of(data)
-                if not len(at):
-                    continue
-                for p, lo, hi in zip(at.tolist(), near.tolist(), far.tolist(), strict=True):
-                    cores.append(digest(data[p - cells.near : p - cells.far + length]))
-                    covers.append(digest(data[p - hi : p - lo + length], lo << 16 | hi))
-                tids.append(np.full(len(at), tid, np.int64))
-                ats.append(at)
-                nears.append(near)
-                fars.append(far)
-                if len(cores) > 100_000:
-                    yield flush(cores, covers, tids, ats, nears, fars)
-                    cores, covers, tids, ats, nears, fars = [], [], [], [], [], []
-            if cores:
-                yield flush(cores, covers, tids, ats, nears, fars)
-
-    def flush(cores, covers, tids, ats, nears, fars):
-        return batch(out, core=_signed(cores), cover=_signed(covers), tid=np.concatenate(tids), at=np.concatenate(ats).astype(np.int32), near=np.concatenate(nears).astype(np.int16), far=np.concatenate(fars).astype(np.int16))
-
-    return texts.select("tid", "text").mapInArrow(run, "core long, cover long, tid long, at int, near short, far short")
-
-
-def next_items(cells: DataFrame, texts: DataFrame, length: int, data_of: Callable[[str], bytes] = encoded) -> DataFrame:
-    """(core, left, right, valid, tid, base): STEP windows each, for the cells that go on.
+                if len(at):
+                    start = at - cells.near
+                    tids.append(tid)
+                    ranks.append(_signed([cells.name(data, i, i + cells.offset) for i in start.tolist()]))
+                    places.append(at << 20 | near << 10 | far)
+            yield batch(out, tid=tids, ranks=ranks, places=places)
 
-    Window u of an item starts u bytes before ``base``; it is the u bytes before the core, the core
-    and the STEP - 1 - u bytes after it.  Those bytes travel as numbers, so the last round needs no text."""
-    out = pa.schema([("core", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("valid", pa.int16()), ("tid", pa.int64()), ("base", pa.int32())])
-    edge = STEP - 1
+    if cells.length > 1023:
+        raise ValueError("windows of more than 1023 units are not provided for")
+    return texts.select("tid", "text").mapInArrow(run, "tid long, ranks array<long>, places array<long>")
+
+
+def paired(live: DataFrame, texts: DataFrame, cells: Cells) -> DataFrame:
+    """(rank, later, cover, tid, at, near, far): the rank at i, at i + k, and of all its windows cover."""
+    out = pa.schema([("rank", pa.int64()), ("later", pa.int64()), ("cover", pa.int64()), ("tid", pa.int64()), ("at", pa.int64()), ("near", pa.int16()), ("far", pa.int16())])
+    length = cells.length
 
     def run(batches):
-        from xxhash import xxh3_64_intdigest as digest
+        for b in batches:
+            for tid, text, places in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True):
+                data = cells.units.data(text)
+                ranks, later, covers, ats, nears, fars = [], [], [], [], [], []
+                for place in places:
+                    p, lo, hi = place >> 20, place >> 10 & 1023, place & 1023
+                    first, last = p - cells.near, p - cells.far + length
+                    ranks.append(cells.name(data, first, first + cells.offset))
+                    later.append(cells.name(data, last - cells.offset, last))
+                    covers.append(cells.name(data, p - hi, p - lo + length, lo << 16 | hi))
+                    ats.append(p)
+                    nears.append(lo)
+                    fars.append(hi)
+                yield batch(out, rank=_signed(ranks), later=_signed(later), cover=_signed(covers), tid=[tid] * len(ats), at=ats, near=nears, far=fars)
+
+    return with_text(live, texts, "places").mapInArrow(run, "rank long, later long, cover long, tid long, at long, near short, far short")
+
+
+def with_text(rows: DataFrame, texts: DataFrame, *columns: str) -> DataFrame:
+    """(tid, text, the columns as lists): each text with its rows; the bucketed texts do not move."""
+    one = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    gathered = rows.groupBy("tid").agg(F.collect_list(one).alias(columns[0] if len(columns) == 1 else "rows"))
+    return gathered.join(texts.select("tid", "text").hint("shuffle_merge"), "tid").select("tid", "text", gathered.columns[1])
 
+
+def windows(going: DataFrame, texts: DataFrame, cells: Cells) -> DataFrame:
+    """(core, left, right, valid, tid, base): ``step`` windows each, for the positions that go on.
+
+    Window u of an item starts u bytes before ``base``; it is the u bytes before the core, the core
+    and the step - 1 - u bytes after it.  Those bytes travel as numbers, so the last round needs no text."""
+    out = pa.schema([("core", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("valid", pa.int16()), ("tid", pa.int64()), ("base", pa.int64())])
+    step, length = cells.units.step, cells.length
+    edge = step - 1
+
+    def run(batches):
         for b in batches:
-            for tid, text, spans in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-                data = data_of(text)
+            for tid, text, spans in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), b.column("rows").to_pylist(), strict=True):
+                data = cells.units.data(text)
                 rows = []
                 for s in spans:
                     p, near, far = s["at"], s["near"], s["far"]
-                    for k in range(near // STEP, far // STEP + 1):
-                        base = p - k * STEP
+                    for k in range(near // step, far // step + 1):
+                        base = p - k * step
                         end = base - edge + length
-                        valid = sum(1 << u for u in range(STEP) if near <= k * STEP + u <= far)
-                        rows.append((digest(data[base:end]), int.from_bytes(data[max(0, base - edge) : base][::-1], "little"), int.from_bytes(data[end : end + edge], "little"), valid, base))
-                if rows:
-                    core, left, right, valid, base = zip(*rows, strict=True)
-                    yield batch(out, core=_signed(core), left=left, right=right, valid=valid, tid=[tid] * len(rows), base=base)
-
-    gathered = cells.groupBy("tid").agg(F.collect_list(F.struct("at", "near", "far")).alias("spans"))
-    return gathered.join(texts.select("tid", "text"), "tid").select("tid", "text", "spans").mapInArrow(run, "core long, left long, right long, valid short, tid long, base int")
-
-
-def settle(items: DataFrame, cover: list[str], place: list[str]) -> tuple[DataFrame, DataFrame]:
-    """One round: (items whose extension repeats, items that go on)."""
-    pairs = items.groupBy("core", *cover).agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("witness"))
-    open_cores = pairs.groupBy("core").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("single")).where("all > 1 and single > 0").select("core")
-    done = items.join(pairs.where("n > 1").select("core", *cover), ["core", *cover], "left_semi")
-    going = pairs.join(open_cores, "core", "left_semi").select("core", *cover, "witness.*")
+                        valid = sum(1 << u for u in range(step) if near <= k * step + u <= far)
+                        left, right = (int.from_bytes(data[max(0, base - edge) : base][::-1], "little"), int.from_bytes(data[end : end + edge], "little")) if edge else (0, 0)
+                        rows.append((cells.name(data, base, end), left, right, valid, base))
+                core, left, right, valid, base = zip(*rows, strict=True)
+                yield batch(out, core=_signed(core), left=left, right=right, valid=valid, tid=[tid] * len(rows), base=base)
+
+    return with_text(going, texts, "at", "near", "far").mapInArrow(run, "core long, left long, right long, valid short, tid long, base long")
+
+
+def settle(items: DataFrame, rank: list[str], extension: list[str], place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One round: (items whose rank and extension repeat, one witness of each extension of a rank
+    that repeats where one of its extensions does not)."""
+    pairs = items.groupBy(*rank, *extension).agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("witness"))
+    pairs = materialise(pairs, "suffix-pairs")
+    doubtful = pairs.groupBy(*rank).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("single")).where("all > 1 and single > 0").select(*rank)
+    repeated = materialise(pairs.where("n > 1").select(*rank, *extension), "suffix-repeated")
+    done = members(items, repeated, [*rank, *extension])
+    going = members(pairs, materialise(doubtful, "suffix-doubtful"), rank).select(*rank, *extension, "witness.*")
     return done, going
 
 
@@ -201,21 +299,20 @@ def distinct_texts(docs: DataFrame, name: str) -> DataFrame:
     spark = docs.sparkSession
     keyed = docs.select(F.xxhash64("text").alias("tid"), "text").where("text is not null")
     one = keyed.groupBy("tid").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    table = f"lexloom_{name}_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    one.write.option("path", fresh_path(spark, name)).bucketBy(buckets, "tid").saveAsTable(table)
-    return spark.table(table)
+    table, path = f"lexloom_{name}_{uuid.uuid4().hex}", fresh_path(spark, name)
 
+    def drop():
+        spark.sql(f"drop table if exists {table}")
+        delete_path(spark, path)
 
-def word_runs(data: bytes, spans: list, words: int) -> list[tuple[int, int]]:
-    """The bytes [lo, hi) of repeated words from window starts (first, last) in the word stream."""
-    at = [m.span() for m in _WORDS.finditer(data)]
-    found = ((-(-s["low"] // WORD), s["high"] // WORD) for s in spans)  # windows that start inside a hash are none
-    return [(at[low][0], at[high + words - 1][1]) for low, high in found if low <= high]
+    at_end(drop)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one.write.option("path", path).bucketBy(buckets, "tid").saveAsTable(table)
+    return spark.table(table)
 
 
-def covered(n: int, spans: list, length: int, more: list[tuple[int, int]] = ()) -> np.ndarray:
-    """Sorted [lo, hi) removed runs from window starts (first, last), and from more such runs."""
+def covered(n: int, spans: Iterable, length: int, more: Iterable[tuple[int, int]] = ()) -> np.ndarray:
+    """Sorted [lo, hi) covered runs from window starts (first, last), and from more such runs."""
     steps = np.zeros(n + 1, np.int64)
     for s in spans:
         steps[s["low"]] += 1
@@ -228,75 +325,89 @@ def covered(n: int, spans: list, length: int, more: list[tuple[int, int]] = ())
     return edges.reshape(-1, 2)
 
 
-def repeats(texts: DataFrame, length: int = LENGTH, data_of: Callable[[str], bytes] = encoded) -> DataFrame:
+def repeats(texts: DataFrame, length: int = LENGTH, units=Bytes) -> DataFrame:
     """(tid, spans): per text the ranges (low, high) of starts of windows that repeat elsewhere."""
-    items = first_items(texts, length, data_of)
-    twice = items.groupBy("core").count().where("count > 1").select("core")
-    items = materialise(items.join(twice, "core", "left_semi"), "suffix-items")
-    done, going = settle(items, ["cover", "near", "far"], ["tid", "at"])
+    cells = Cells(length, units)
+    ranked = materialise(positions(texts, cells), "suffix-positions")
+    shared = materialise(ranked.select(F.explode("ranks").alias("rank")).groupBy("rank").count().where("count > 1").select("rank"), "suffix-shared")
+    every = ranked.select("tid", F.explode(F.arrays_zip("ranks", "places")).alias("x")).select("tid", F.col("x.ranks").alias("rank"), F.col("x.places").alias("places"))
+    items = materialise(paired(members(every, shared, ["rank"]).drop("rank"), texts, cells), "suffix-pairs-of-ranks")
+    done, going = settle(items, ["rank", "later"], ["cover", "near", "far"], ["tid", "at"])
     spans = [done.select("tid", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near")).alias("high"))]
-    narrow = materialise(next_items(going, texts, length, data_of), "suffix-windows")
-    done, going = settle(narrow, ["left", "right", "valid"], ["tid", "base"])
+    narrow = materialise(windows(going, texts, cells), "suffix-windows")
+    done, going = settle(narrow, ["core"], ["left", "right", "valid"], ["tid", "base"])
     first = F.floor(F.log2(F.col("valid").bitwiseAND(-F.col("valid"))) + 0.5).cast("int")
     last = F.floor(F.log2(F.col("valid").cast("double"))).cast("int")
     spans.append(done.select("tid", (F.col("base") - last).alias("low"), (F.col("base") - first).alias("high")))
-    mask = [(1 << 8 * u) - 1 for u in range(STEP)]
-    single = going.select("core", "tid", "base", "left", "right", "valid", F.explode(F.array(*[F.struct(F.lit(u).alias("u"), F.lit(mask[u]).cast("long").alias("l"), F.lit(mask[STEP - 1 - u]).cast("long").alias("r")) for u in range(STEP)])).alias("w"))
-    single = single.where("((valid >> w.u) & 1) = 1")
-    key = ["core", "u", "l", "r"]
-    single = single.select("core", "w.u", F.col("left").bitwiseAND(F.col("w.l")).alias("l"), F.col("right").bitwiseAND(F.col("w.r")).alias("r"), "tid", (F.col("base") - F.col("w.u")).alias("low"))
-    again = single.groupBy(*key).count().where("count > 1").select(*key)
-    single = single.join(again, key, "left_semi")
-    spans.append(single.select("tid", "low", F.col("low").alias("high")))
-    every = spans[0].unionByName(spans[1]).unionByName(spans[2])
+    if units.step > 1:
+        mask = [(1 << 8 * u) - 1 for u in range(units.step)]
+        each = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(mask[u]).cast("long").alias("l"), F.lit(mask[units.step - 1 - u]).cast("long").alias("r")) for u in range(units.step)])
+        single = going.select("core", "tid", "base", "left", "right", "valid", F.explode(each).alias("w")).where("((valid >> w.u) & 1) = 1")
+        key = ["core", "u", "l", "r"]
+        single = single.select("core", "w.u", F.col("left").bitwiseAND(F.col("w.l")).alias("l"), F.col("right").bitwiseAND(F.col("w.r")).alias("r"), "tid", (F.col("base") - F.col("w.u")).alias("low"))
+        again = materialise(single.groupBy(*key).count().where("count > 1").select(*key), "suffix-again")
+        spans.append(members(single, again, key).select("tid", "low", F.col("low").alias("high")))
+    every = spans[0]
+    for more in spans[1:]:
+        every = every.unionByName(more)
     return every.groupBy("tid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
-RESULT = pa.schema([("tid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
+RESULT = pa.schema([("tid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passages", pa.int64()), ("kept", pa.string())])
 
 
-def cut(docs: DataFrame, length: int = LENGTH, with_text: bool = False, words: int = 0) -> DataFrame:
-    """Per different text: tid, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept text.
+def cut(docs: DataFrame, length: int = LENGTH, words: int = 0, cut_words: bool = False, with_text: bool = False) -> DataFrame:
+    """Per different text: tid, n_bytes, n_removed, n_spans, kept_sha256, n_passages and kept text.
 
-    words: what repeats in so many words in a row goes as well, however short it is in bytes."""
+    words: n_passages counts the maximal runs of so many words or more that repeat elsewhere (0
+    without words), and with ``cut_words`` these go too, however short they are in bytes.
+    kept: with ``with_text``, what is left of the texts that lose something; else null."""
     small_batches(docs.sparkSession)
-    texts = distinct_texts(docs, "suffix_texts")
-    if words:
-        found = []
-        for least, data_of in ((length, encoded), (WORD * words, word_stream)):
-            with scratch(docs.sparkSession):
-                found.append(materialise(repeats(texts, least, data_of), "suffix-spans", keep=True))
-        marked = texts.join(found[0], "tid", "left").join(found[1].withColumnRenamed("spans", "runs"), "tid", "left")
-    else:
+    with scratch():
+        texts = distinct_texts(docs, "suffix_texts")
         marked = texts.join(repeats(texts, length), "tid", "left")
-    columns = ["tid", "text", "copies", "spans", *["runs"] * bool(words)]
+        if words:
+            marked = marked.join(repeats(texts, words, Words).withColumnRenamed("spans", "runs"), "tid", "left")
+        columns = ["tid", "text", "copies", "spans", *["runs"] * bool(words)]
 
-    def run(batches):
-        for b in batches:
-            rows = []
-            for tid, text, copies, spans, *more in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
-                data = encoded(text)
-                whole = copies > 1 and (len(data) >= length or words and len(_WORDS.findall(data)) >= words)
-                runs = [[0, len(data)]] if whole else covered(len(data), spans or [], length, word_runs(data, more[0], words) if words and more[0] else ()).tolist()
-                left, at = [], 0
-                for lo, hi in runs:
-                    left.append(data[at:lo])
-                    at = hi
-                kept = b"".join([*left, data[at:]])
-                rows.append((tid, len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text and runs else None))
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            yield batch(RESULT, **dict(zip(RESULT.names, cols, strict=True)))
-
-    return marked.select(*columns).mapInArrow(run, "tid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
-
-
-def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every whole text."""
-    results = cut(docs, length).drop("kept")
-    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tid"), F.col("text").isNull().alias("none"))
+        def run(batches):
+            for b in batches:
+                rows = []
+                for tid, text, copies, spans, *more in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
+                    data = encoded(text)
+                    runs, passages = [], 0
+                    if words and (copies > 1 or more[0]):
+                        begin, end = word_bounds(data)
+                        if copies > 1:
+                            passages = int(len(begin) >= words)
+                        else:
+                            found = covered(len(begin), more[0], words)
+                            passages, runs = len(found), [(begin[lo], end[hi - 1]) for lo, hi in found.tolist()]
+                    whole = copies > 1 and (len(data) >= length or cut_words and passages)
+                    gone = [[0, len(data)]] if whole else covered(len(data), spans or [], length, runs if cut_words else ()).tolist()
+                    left, at = [], 0
+                    for lo, hi in gone:
+                        left.append(data[at:lo])
+                        at = hi
+                    kept = b"".join([*left, data[at:]])
+                    rows.append((tid, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), passages, kept.decode("utf-8", "ignore") if with_text and gone else None))
+                cols = list(zip(*rows, strict=True)) or [()] * len(RESULT)
+                yield batch(RESULT, **dict(zip(RESULT.names, cols, strict=True)))
+
+        done = marked.select(*columns).mapInArrow(run, "tid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, kept string")
+        return materialise(done, "suffix-results", keep=True)
+
+
+def digest(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every whole text; with words, n_passages too.
+
+    What is removed follows the length in bytes alone; n_passages counts repeated runs of words."""
+    results = cut(docs, length, words).drop("kept")
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tid"))
     joined = keyed.join(results, "tid", "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
-    return joined.select("doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.coalesce("kept_sha256", empty).alias("kept_sha256"))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "n_passages")]
+    return joined.select("doc_id", *counts[:3], F.coalesce("kept_sha256", empty).alias("kept_sha256"), *counts[3:] * bool(words))
 
 
 def strip(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
@@ -305,7 +416,7 @@ def strip(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
     words: passages of so many words go too, from their first word to their last.
     A character that loses some of its bytes goes with them."""
     key, new = unused(docs, "_tid"), unused(docs, "_new_text")
-    kept = cut(docs, length, with_text=True, words=words).where("kept is not null").select(F.col("tid").alias(key), F.col("kept").alias(new))
+    kept = cut(docs, length, words, cut_words=True, with_text=True).where("kept is not null").select(F.col("tid").alias(key), F.col("kept").alias(new))
     out = docs.withColumn(key, F.xxhash64("text")).join(kept, key, "left")
     columns = {"text": F.coalesce(new, "text").alias("text")}
     if "n_chars" in docs.columns:

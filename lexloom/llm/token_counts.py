@@ -15,7 +15,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WordCache, batch, small_batches
+from .common import WordCache, batch, small_batches, worker_own
 from .pretokens import pieces
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -95,12 +95,8 @@ class Counter:
         return counts
 
 
-_COUNTERS: dict[tuple, Counter] = {}
-
-
 def worker_counter(path: str, pattern: str, whole: frozenset[str]) -> Counter:
-    """The worker's own counter; it lives as long as the worker."""
-    return _COUNTERS.get((path, pattern)) or _COUNTERS.setdefault((path, pattern), Counter(path, pattern, whole))
+    return worker_own(("counter", path, pattern), lambda: Counter(path, pattern, whole))
 
 
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512) -> DataFrame:

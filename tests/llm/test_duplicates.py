@@ -165,21 +165,21 @@ def test_components(spark):
 
 
 def test_pipeline(spark, tmp_path):
-    docs = spark.createDataFrame([r[:5] for r in ROWS], "doc_id long, text string, lang string, source string, n_chars long")
+    """The stages' own rules: 5-word shingles at 80/100, repeats of 51 words or 400 bytes."""
+    from .test_pipeline_stages import brute_strip, first_of_groups
+    from .test_text_operators import brute_hits
+
+    docs = spark.createDataFrame(ROWS, SCHEMA)
     docs.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
     items = benchmark(ROWS)
     spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == [*docs.columns, "token_ids"]
-    rows = [r for r in ROWS if re.search(r"[^\W\d_]", r[1] or "")]
-    keep = {d for d, _, c in brute_link(rows) if d == c}
+    rows = list({r[0]: r for r in ROWS if re.search(r"[^\W\d_]", r[1] or "")}.values())
+    keep = set(first_of_groups([r[:2] for r in rows]))
     rows = [r for r in rows if r[0] in keep]
-    texts = [w[4].decode("utf-8", "ignore") for w in brute_cut([r[1] for r in rows], 400)]
-
-    from .test_text_operators import brute_hits
-
     want = []
-    for r, t in zip(rows, texts, strict=True):
+    for r, t in zip(rows, brute_strip([r[1] for r in rows]), strict=True):
         words, hit, _ = brute_hits(t, items)
         if not (hit and 20 * len(hit) >= len(words)):
             want.append((r[0], t))
@@ -188,3 +188,28 @@ def test_pipeline(spark, tmp_path):
     for _, f in corpus_pipeline.STAGES[:-1]:
         stage = materialise(f(spark, stage, str(tmp_path)), "t")
         assert stage.columns == docs.columns
+
+
+def test_repeated_passages_are_counted(spark):
+    """n_passages: maximal runs of 51 words or more that stand elsewhere, by brute force."""
+    texts, seen = [r[1] or "" for r in ROWS], collections.Counter()
+    words = [re.findall(r"[^ \t-\r]+", t) for t in texts]
+    for w in words:
+        seen.update(tuple(w[i : i + 51]) for i in range(len(w) - 50))
+    want = []
+    for r, w in zip(ROWS, words, strict=True):
+        hit = [False] * len(w)
+        for i in range(len(w) - 50):
+            if seen[tuple(w[i : i + 51])] > 1:
+                hit[i : i + 51] = [True] * 51
+        want.append((r[0], len(re.findall("1+", "".join("01"[h] for h in hit)))))
+    got = suffix_dedup.digest(spark.createDataFrame(ROWS, SCHEMA).repartition(3), 400, words=51)
+    assert sorted((r["doc_id"], r["n_passages"]) for r in got.collect()) == sorted(want)
+    assert sum(n for _, n in want) > 10
+
+
+def test_word_hashes():
+    words = [b"a", b"b", b"ab", b"ba", b"x" * 64, b"x" * 65, b"x" * 200, "ж".encode() * 40]
+    h = suffix_dedup.word_hashes(b" \t".join(words) + b"\n a")
+    assert len(set(h.tolist())) == len(words) and h[0] == h[-1]
+    assert suffix_dedup.word_hashes(b"").size == suffix_dedup.word_hashes(b" \n").size == 0

@@ -10,7 +10,8 @@ from .test_duplicates import near_copies
 
 
 def linked(x, y):
-    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (x.lower().split(), y.lower().split()))
+    words = (re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) for t in (x, y))
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words)
     return 100 * len(x & y) >= 80 * len(x | y)
 
 
