@@ -1,33 +1,37 @@
 """Operator 4: benchmark decontamination with a generalised suffix automaton.
 
-The automaton is built once on the driver over the normalised words of the test items, each item
-its own string; its size is at most twice the items' words.  Items are read in blocks of at most
-``BLOCK_WORDS`` words, one automaton each, so what is shipped to executors is bounded however many
-items there are (more blocks are more passes over a text's words, not more memory).
+Items are read as a stream and dealt to blocks of at most ``BLOCK_WORDS`` words; a longer item is cut
+into pieces that overlap by a window less a word.  Each block makes one automaton, whose size is at
+most twice the block's words, and is broadcast alone: neither the driver nor an executor ever holds
+more than two blocks, however many items there are.  With several blocks the documents pass through
+one after the other, written between passes, and carry the hits found so far.
 
 A text's words stream through the automaton and the longest suffix that is a substring of an item
 is tracked.  Where it reaches the window, the last ``window`` words are hit and the state on the
 suffix path that stands for exactly that many words names the items.  An item shorter than the
 window counts where it occurs whole.  Words outside the items' vocabulary, and neighbouring pairs
 of words that no item has, reset the automaton, so only stretches of known pairs as long as the
-shortest window are streamed; the search for those is vectorised.  One map over the rows.
+shortest window are streamed; the search for those is vectorised.  One map over the rows per block.
 
 Defined cases: null texts and texts without words have no words, no hits and are clean; items that
-are null or have no words are ignored; repeated items each count; repeated rows give repeated rows;
-other columns pass through ``flag`` and are ignored by ``digest``; an empty table gives an empty
-result; with no items nothing is contaminated."""
+are null, have no words or have no id are ignored; repeated items each count; repeated rows give
+repeated rows; other columns, whatever their names, pass through ``drop_contaminated`` and
+``strip_spans`` and are ignored by ``digest``; an empty table gives an empty result; with no items
+nothing is contaminated."""
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from .common import batch, small_batches
+from .common import batch, materialise, small_batches, unused
 
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 100_000
 #: Bytes to words: A-Z become a-z, every other ASCII byte but digits and a-z becomes a space.
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -151,31 +155,87 @@ class Automaton:
         return spans, found
 
 
-class Matcher:
-    """All automata of the benchmark; bounded blocks of items."""
-
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
-        blocks, size = [[]], 0
-        for name, text in items:
-            words = words_of(text)
-            if size and size + len(words) > BLOCK_WORDS:
-                blocks.append([])
-                size = 0
-            blocks[-1].append((name, words))
-            size += len(words)
-        self.automata = [a for b in blocks if (a := Automaton(b, window)).items]
-
-    def scan(self, text: str | None) -> tuple[int, np.ndarray, list[str]]:
-        """(number of words, hit flags, names of items in string order)."""
-        words = words_of(text)
-        hit, names = np.zeros(len(words), bool), []
-        for a in self.automata:
-            ids = np.fromiter(map(a.vocab.get, words, [-1] * len(words)), np.int32, len(words))
-            spans, found = a.match(ids)
-            for lo, hi in spans:
-                hit[lo:hi] = True
-            names += [a.items[k][0] for k in found]
-        return len(words), hit, sorted(names)
+def blocks(items: DataFrame, window: int) -> Iterator[Automaton]:
+    """The automata of the benchmark, one bounded block of items at a time.
+
+    An item is named by its place and id, so that its pieces in several blocks count once."""
+    rows = items.selectExpr("cast(item_id as string) as item", "text").where("text is not null and item_id is not null").toLocalIterator()
+    held, size = [], 0
+    for k, r in enumerate(rows):
+        words = words_of(r["text"])
+        step = max(1, BLOCK_WORDS - window + 1)
+        for at in range(0, max(1, len(words) - window + 1), step):
+            piece = words[at : at + step + window - 1]
+            if size and size + len(piece) > BLOCK_WORDS:
+                yield Automaton(held, window)
+                held, size = [], 0
+            held.append((f"{k}:{r['item']}", piece))
+            size += len(piece)
+    if size:
+        yield Automaton(held, window)
+
+
+class Found:
+    """What is known of a text: its number of words, which are hit, and the items that occur."""
+
+    def __init__(self, text: str | None, hit: bytes | None = None, names: list[str] | None = None):
+        self.words = words_of(text)
+        self.hit = np.zeros(len(self.words), bool) if hit is None else np.unpackbits(np.frombuffer(hit, np.uint8), count=len(self.words)).astype(bool)
+        self.names = set(names or ())
+
+    def add(self, automaton: Automaton) -> None:
+        get = automaton.vocab.get
+        spans, found = automaton.match(np.fromiter(map(get, self.words, [-1] * len(self.words)), np.int32, len(self.words)))
+        for lo, hi in spans:
+            self.hit[lo:hi] = True
+        self.names.update(automaton.items[k][0] for k in found)
+
+    def items(self) -> list[str]:
+        return sorted(x.split(":", 1)[1] for x in self.names)
+
+    def contaminated(self) -> bool:
+        return contaminated(len(self.words), int(self.hit.sum()))
+
+
+def scan(docs: DataFrame, items: DataFrame, window: int, finish: Callable[[pa.RecordBatch, list[Found]], pa.RecordBatch], schema) -> DataFrame:
+    """``finish`` of every batch of documents and what the whole benchmark finds in it."""
+    small_batches(docs.sparkSession)
+    context, columns = docs.sparkSession.sparkContext, docs.columns
+    hit, names = unused(docs, "_hit"), unused(docs, "_items")
+
+    def run(shared, first: bool, last: bool):
+        def found_in(b):
+            at = b.schema.get_field_index("text")
+            before = [(None, None)] * b.num_rows if first else zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)
+            for text, (bits, known) in zip(b.column(at).to_pylist(), before, strict=True):
+                found = Found(text, bits, known)
+                if shared is not None:
+                    found.add(shared.value)
+                yield found
+
+        def passing(batches):
+            for b in batches:
+                found = list(found_in(b))
+                own = b if first else b.select(range(b.num_columns - 2))
+                if last:
+                    yield finish(own, found)
+                else:
+                    more = [pa.array([np.packbits(x.hit).tobytes() for x in found], pa.binary()), pa.array([sorted(x.names) for x in found], pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays([*own.columns, *more], names=[*own.schema.names, hit, names])
+
+        return passing
+
+    rest = blocks(items, window)
+    block, carried, first = next(rest, None), docs, True
+    between = T.StructType([*docs.schema.fields, T.StructField(hit, T.BinaryType()), T.StructField(names, T.ArrayType(T.StringType()))])
+    while True:
+        shared = None if block is None else context.broadcast(block)
+        block = next(rest, None)
+        if block is None:
+            return carried.mapInArrow(run(shared, first, True), schema)
+        carried = materialise(carried.mapInArrow(run(shared, first, False), between), "benchmark-pass")
+        shared.unpersist()
+        first = False
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:
@@ -200,63 +260,37 @@ def remove_spans(text: str, hit: np.ndarray) -> str:
     return b"".join([*out, data[at:]]).decode("utf-8", "surrogatepass")
 
 
-def load_matcher(items: DataFrame, window: int) -> Matcher:
-    """The benchmark is a given, small set of test items: it is the one thing read to the driver."""
-    rows = items.selectExpr("cast(item_id as string) as item", "text").where("text is not null and item_id is not null").toLocalIterator()
-    return Matcher([(r["item"], r["text"]) for r in rows], window)
-
-
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
 
 
 def digest(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every whole text."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(load_matcher(items, window))
 
-    def run(batches):
-        matcher = shared.value
-        for b in batches:
-            rows = []
-            for text in b.column("text").to_pylist():
-                n, hit, names = matcher.scan(text)
-                k = int(hit.sum())
-                rows.append((n, k, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), contaminated(n, k)))
-            cols = list(zip(*rows, strict=True)) or [()] * 5
-            yield batch(OUT, doc_id=b.column("doc_id"), n_words=cols[0], n_hit=cols[1], n_items=cols[2], items_sha256=cols[3], contaminated=cols[4])
+    def finish(b, found):
+        rows = [(len(x.words), int(x.hit.sum()), len(x.names), hashlib.sha256(",".join(x.items()).encode()).hexdigest(), x.contaminated()) for x in found]
+        cols = list(zip(*rows, strict=True)) or [()] * 5
+        return batch(OUT, doc_id=b.column(0), n_words=cols[0], n_hit=cols[1], n_items=cols[2], items_sha256=cols[3], contaminated=cols[4])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return scan(docs.selectExpr("cast(doc_id as long) doc_id", "text"), items, window, finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
     """The clean documents, all columns as they are.  Documents past the coverage limit go."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(load_matcher(items, window))
-
-    def run(batches):
-        for b in batches:
-            keep = [not contaminated(n, int(hit.sum())) for n, hit, _ in map(shared.value.scan, b.column("text").to_pylist())]
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return scan(docs, items, window, lambda b, found: b.filter(pa.array([not x.contaminated() for x in found], pa.bool_())), docs.schema)
 
 
 def strip_spans(docs: DataFrame, items: DataFrame, window: int = 13, least_words: int = 1) -> DataFrame:
     """Documents with every hit run of at least ``least_words`` words cut out of the text."""
-    small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(load_matcher(items, window))
-
-    def run(batches):
-        for b in batches:
-            texts = []
-            for text in b.column("text").to_pylist():
-                _, hit, _ = shared.value.scan(text)
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-                for lo, hi in zip(edges[::2], edges[1::2], strict=True):
-                    if hi - lo < least_words:
-                        hit[lo:hi] = False
-                texts.append(remove_spans(text, hit) if hit.any() else text)
-            at = b.schema.get_field_index("text")
-            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    def finish(b, found):
+        at = b.schema.get_field_index("text")
+        texts = []
+        for text, x in zip(b.column(at).to_pylist(), found, strict=True):
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], x.hit.astype(np.int8), [0]))))
+            for lo, hi in zip(edges[::2], edges[1::2], strict=True):
+                if hi - lo < least_words:
+                    x.hit[lo:hi] = False
+            texts.append(remove_spans(text, x.hit) if x.hit.any() else text)
+        return b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+
+    return scan(docs, items, window, finish, docs.schema)

@@ -198,14 +198,14 @@ def test_chroma(spark):
 
     def tune(n, seed):
         g = np.random.default_rng(seed)
-        t = np.arange(400) / chroma.RATE
+        t = np.arange(400) / chroma.SHORT.rate
         return np.concatenate([np.sin(2 * np.pi * 220 * 2 ** (g.integers(0, 30) / 12) * t) for _ in range(n)])
 
     def pcm(x):
         return ((np.clip(x, -1, 1) * 120) + 128).astype(np.uint8).tobytes()
 
     whole = tune(60, 1)
-    media = [(1, pcm(whole)), (2, pcm(whole)), (3, pcm(whole[chroma.HOP * 40 :])), (4, pcm(whole + rng.normal(0, 0.01, len(whole)))), (5, pcm(tune(60, 2))), (6, None), (7, b""), (8, b"abc"), (9, pcm(whole)), (9, pcm(whole))]
+    media = [(1, pcm(whole)), (2, pcm(whole)), (3, pcm(whole[chroma.SHORT.hop * 40 :])), (4, pcm(whole + rng.normal(0, 0.01, len(whole)))), (5, pcm(tune(60, 2))), (6, None), (7, b""), (8, b"abc"), (9, pcm(whole)), (9, pcm(whole))]
     df = spark.createDataFrame(media, "doc_id long, pcm binary")
     got = {r["doc_id"]: r for r in chroma.match(df, "pcm").collect()}
     assert got[2]["class_id"] == got[9]["class_id"] == 1 and got[2]["codes_crc32"] == got[1]["codes_crc32"]
@@ -226,8 +226,59 @@ def test_chroma(spark):
             code = code << 2 | [0, 1, 3, 2][int(ratio > -0.25) + int(ratio > 0) + int(ratio > 0.25)]
         assert code == codes[at]
     x, y = rng.integers(0, 5, 60).astype(np.uint32), rng.integers(0, 5, 40).astype(np.uint32)
-    votes = collections.Counter(i - j for i in range(60) for j in range(40) if x[i] == y[j])
+    seed = chroma.SEED
+    x, y = np.tile(x[:20], 4), np.concatenate([y, x[5:25]])
+    votes = collections.Counter(i - j for i in range(len(x) - seed + 1) for j in range(len(y) - seed + 1) if (x[i : i + seed] == y[j : j + seed]).all())
     assert chroma.align(x, y)[0] == max(votes.values())
+    assert chroma.fingerprint(pcm(tune(400, 3)), chroma.Shape(8000, 1024, 256, 8))[0] == 1 + (160_000 - 1024) // 256
+
+
+def brute_groups(media):
+    """The least id of every group of recordings linked by the rule, by all pairs."""
+    codes, label = {d: chroma.fingerprint(x)[1] for d, x in media}, {d: d for d, _ in media}
+    for d, x in media:
+        for e, y in media:
+            if d < e and label[d] != label[e]:
+                votes, _, wrong, overlap = chroma.align(codes[d], codes[e])
+                if x and x == y or len(codes[d]) and (codes[d].tobytes() == codes[e].tobytes() or votes and chroma.linked(codes[d], codes[e], votes, wrong, overlap)):
+                    a, b = sorted((label[d], label[e]))
+                    label = {k: a if v == b else v for k, v in label.items()}
+    return label
+
+
+def test_chroma_groups_by_brute_force(spark):
+    rng = random.Random(12)
+    syllables = ["th", "er", "on ", "an", "re", "ing "]
+    base = ["".join(rng.choice(syllables) for _ in range(700)) for _ in range(3)]
+    texts = [*base, base[0], None, "", "short"]
+    for i in range(40):  # clips, copies with a stretch replaced, clips of two recordings in a row
+        x, y = rng.choice(base), rng.choice(base)
+        lo = rng.randrange(20) * 32
+        clip = x[lo : lo + rng.randrange(640, 1700)]
+        at = rng.randrange(len(clip) - 40)
+        texts.append([clip, clip[:at] + "#" * 40 + clip[at + 40 :], clip + y[: rng.randrange(800)], "~" * rng.randrange(40) + clip][i % 4])
+    texts += ["\0" * 900, "\0" * 1500, "ab" * 700, "ab" * 400]
+    media = [(i * 2 + 1, x if x is None else x.encode()) for i, x in enumerate(texts)]
+    df = spark.createDataFrame([(d, x, "c", 1) for d, x in media], "doc_id long, pcm binary, codes string, Recording int").repartition(3)
+    got = {r["doc_id"]: r for r in chroma.match(df, "pcm").collect()}
+    want = brute_groups(media)
+    assert {d: r["group_id"] for d, r in got.items()} == want
+    data = {d: chroma.fingerprint(x)[1] for d, x in media}
+    for d, r in got.items():
+        if r["aligned"]:
+            votes, offset, wrong, overlap = chroma.align(data[r["match_id"]], data[d])
+            assert (votes, offset) == (r["match_votes"], r["match_offset"]) and want[d] == want[r["match_id"]] and abs(wrong / 32 / overlap - r["bit_error"]) < 1e-5
+    assert sum(r["aligned"] for r in got.values()) > 15
+
+
+def test_decontaminate_in_blocks(spark, docs, monkeypatch):
+    bench = spark.createDataFrame([*benchmark(ROWS), (13, ROWS[1][1]), (13, ROWS[1][1])], "item_id long, text string").coalesce(1)
+    want = rows(decontaminate.digest(docs, bench), "*")
+    clean = rows(decontaminate.drop_contaminated(docs, bench), "doc_id")
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 25)
+    assert len(list(decontaminate.blocks(bench, 13))) > 5
+    assert rows(decontaminate.digest(docs, bench), "*") == want
+    assert rows(decontaminate.drop_contaminated(docs, bench), "doc_id") == clean
 
 
 def test_chroma_classes_short_recordings(spark):
