@@ -9,13 +9,15 @@ of each hold at least l common ones.  The filters, each from its own order:
    with nothing and leaves.  This drops nearly all texts before any pair is thought of.
 2. Rare-first order of what is left of the prefixes (frequency, then hash): of m shared shingles,
    the first m - l + 1 are kept.  Very common passages come last, so they make no candidates.
-3. Reversed hash order: a candidate pair must also share a shingle among the last n - o + 1.
+3. Reversed hash order: the l-prefix again, of the order read from its end.  A text with fewer than
+   l shingles that others have in theirs leaves as well, and a pair must share one of the last n - o + 1.
 
 Candidates intersect the filters before any verification.  Pairs inside big groups of near copies
 are never listed: first every text is paired with the leader of each of its kept shingles (the most
 central text), the links found are contracted to components, and only pairs between different
-components are looked at, in blocks of at most ``BLOCK`` x ``BLOCK`` rows, by a bit-parity sketch
-whose bound never rules out a link: once for each text's likeliest partner, then, with these
+components are looked at, in blocks of about ``BLOCK`` x ``BLOCK`` rows (the rows of a leader's own
+component are held against the others only, so a long list costs its length times the few that are
+not with its leader), by a bit-parity sketch whose bound never rules out a link: once for each text's likeliest partner, then, with these
 contracted too, for all pairs that are left.  Survivors are verified on the whole sets.  A link left out is
 between texts that are connected already, so components are exact.
 
@@ -33,12 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, batch, materialise, scratch, small_batches, unused
+from .common import BROADCAST_ROWS, WordCache, batch, materialise, members, scratch, small_batches, unused, worker_own
 from .graph import components
 
 SHINGLE, NUMERATOR, BLOCK, SKETCH = 4, 85, 1024, 16
-#: Different texts that may be broadcast as ids of eight bytes; beyond it they are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -67,7 +67,6 @@ def _word_hashes(words: list[bytes]) -> list[int]:
     return [xxh3_64_intdigest(w) for w in words]
 
 
-_WORDS = WordCache(_word_hashes, 200_000)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -76,7 +75,7 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.array(_WORDS.of(words), np.uint64)
+    h = np.array(worker_own(("word hashes",), lambda: WordCache(_word_hashes, 200_000)).of(words), np.uint64)
     n = min(size, len(h))
     out = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):
@@ -105,20 +104,19 @@ def _tokens(docs: DataFrame, size: int, numerator: int) -> DataFrame:
     return keyed.mapInArrow(run, "tid long, n int, prefix array<long>").dropDuplicates(["tid"])
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(tid, n, tokens, sketch) of the wanted texts."""
-    out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary())])
+def _sets(docs: DataFrame, wanted: DataFrame, size: int, numerator: int) -> DataFrame:
+    """(tid, n, tokens, sketch, tail) of the wanted texts; tail: the l-prefix under reversed hash order."""
+    out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("tail", pa.list_(pa.int64()))])
 
     def run(batches):
         for b in batches:
-            rows = [(tid, len(s), s.tobytes(), sketch(s).tobytes()) for tid, s in zip(b.column("tid").to_pylist(), (shingles(x, size) for x in b.column("text").to_pylist()), strict=True)]
-            tid, n, tokens, sk = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield batch(out, tid=tid, n=n, tokens=tokens, sketch=sk)
+            rows = [(tid, len(s), s.tobytes(), sketch(s).tobytes(), s[len(s) - prefix_size(len(s), numerator) :].view(np.int64)) for tid, s in zip(b.column("tid").to_pylist(), (shingles(x, size) for x in b.column("text").to_pylist()), strict=True)]
+            tid, n, tokens, sk, tail = zip(*rows, strict=True) if rows else ((),) * 5
+            yield batch(out, tid=tid, n=n, tokens=tokens, sketch=sk, tail=tail)
 
     keyed = docs.where("text is not null").select(F.xxhash64("text").alias("tid"), "text")
-    few = wanted.count() <= BROADCAST_IDS
-    found = keyed.join(F.broadcast(wanted) if few else wanted, "tid", "left_semi")
-    return found.mapInArrow(run, "tid long, n int, tokens binary, sketch binary").dropDuplicates(["tid"])
+    found = members(keyed, wanted, ["tid"])
+    return found.mapInArrow(run, "tid long, n int, tokens binary, sketch binary, tail array<long>").dropDuplicates(["tid"])
 
 
 def _linked(x: np.ndarray, y: np.ndarray, numerator: int) -> bool:
@@ -169,15 +167,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
 def _across(postings: DataFrame, sets: DataFrame, numerator: int, nearest: bool = False) -> DataFrame:
     """Pairs (a, b) of one posting list and different components that may link.
 
+    postings: token, tid, label, home (whether the label is that of the token's leader).
     nearest: only the likeliest partner of each text outside the list's largest component, which is
     enough to join most components before all the pairs that are left are looked at.
 
-    A list longer than BLOCK is cut into blocks by hash and each pair of blocks is a unit of work;
-    units stream through sorted partitions, so a task holds two blocks at a time."""
+    Rows away from home and rows at home are cut into blocks by hash; a unit of work is a block of
+    the former against another block.  Units stream through sorted partitions, so a task holds two
+    blocks at a time."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    sizes = postings.groupBy("token").agg(F.count("*").alias("rows"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    cut = postings.join(sizes.select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "token").withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
-    units = cut.select("token", "tid", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    away, home = F.sum(F.when(F.col("home"), 0).otherwise(1)), F.sum(F.when(F.col("home"), 1).otherwise(0))
+    sizes = postings.groupBy("token").agg(F.ceil(away / BLOCK).cast("int").alias("away"), F.ceil(home / BLOCK).cast("int").alias("at_home"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").drop("x", "y")
+    cut = postings.join(sizes, "token").withColumn("own", F.expr("if(home, away + pmod(xxhash64(tid), at_home), pmod(xxhash64(tid), away))").cast("int"))
+    units = cut.select("token", "tid", "label", "own", F.explode(F.expr("sequence(0, if(home, away, away + at_home) - 1)")).alias("other"))
     units = units.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "tid", "label").join(sets.select("tid", "n", "sketch"), "tid")
 
     def compare(rows: list[tuple]):
@@ -215,20 +216,22 @@ def _across(postings: DataFrame, sets: DataFrame, numerator: int, nearest: bool
 
         def flush():
             a, b = zip(*found, strict=True)
+            found.clear()
             return batch(out, a=a, b=b)
 
+        def unit():
+            for pair in compare(held) if len(held) > 1 else ():
+                found.add(pair)
+                if len(found) > 50_000:
+                    yield flush()
+
         for b in batches:
             for row in zip(*(b.column(c).to_pylist() for c in names), strict=True):
                 if row[:3] != key:
-                    if len(held) > 1:
-                        found.update(compare(held))
+                    yield from unit()
                     key, held = row[:3], []
-                    if len(found) > 50_000:
-                        yield flush()
-                        found = set()
                 held.append(row)
-        if len(held) > 1:
-            found.update(compare(held))
+        yield from unit()
         if found:
             yield flush()
 
@@ -251,14 +254,20 @@ def links(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR) -> t
     postings = lists.select("tid", "n", central.alias("rank"), F.explode(F.expr("slice(by_rarity, 1, cast(size(by_rarity) - need + 1 as int))")).alias("t")).select("tid", "n", "rank", F.col("t.token").alias("token"))
     alive = postings.groupBy("token").count().where("count > 1").select("token")
     postings = materialise(postings.join(alive, "token", "left_semi"), "jaccard-postings")
-    sets = materialise(_sets(docs, postings.select("tid").distinct(), size), "jaccard-sets")
-    leaders = postings.groupBy("token").agg(F.min(F.struct("rank", "tid")).alias("lead"), F.first("n").alias("_"))
+    sets = materialise(_sets(docs, materialise(postings.select("tid").distinct(), "jaccard-candidates"), size, numerator), "jaccard-sets")
+    tails = sets.select("tid", "n", F.explode("tail").alias("token"))
+    common = materialise(tails.groupBy("token").count().where("count > 1").select("token"), "jaccard-tails")
+    staying = members(tails, common, ["token"]).groupBy("tid").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= need).select("tid")
+    postings = materialise(members(postings, materialise(staying, "jaccard-staying"), ["tid"]), "jaccard-filtered")
+    leaders = materialise(postings.groupBy("token").agg(F.min(F.struct("rank", "tid")).alias("lead")), "jaccard-leaders")
     stars = postings.join(leaders, "token").where("tid <> lead.tid").select(F.greatest("tid", "lead.tid").alias("a"), F.least("tid", "lead.tid").alias("b")).distinct()
     first = materialise(_verified(stars, sets, numerator), "jaccard-stars")
     labels = materialise(components(first), "jaccard-components")
     for nearest in (True, False):
         node = labels.select(F.col("node").alias("tid"), "label")
+        led = leaders.select("token", F.col("lead.tid").alias("tid")).join(node, "tid", "left").select("token", F.coalesce("label", "tid").alias("lead"))
         labelled = postings.select("token", "tid").join(node, "tid", "left").select("token", "tid", F.coalesce("label", "tid").alias("label"))
+        labelled = labelled.join(led, "token").select("token", "tid", "label", (F.col("label") == F.col("lead")).alias("home"))
         found = materialise(_verified(_across(labelled, sets, numerator, nearest), sets, numerator), "jaccard-across")
         if found.isEmpty():
             continue
@@ -268,7 +277,7 @@ def links(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR) -> t
 
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every whole text."""
-    with scratch(docs.sparkSession):
+    with scratch():
         tokens, labels = links(docs)
         keyed = docs.select(F.col("doc_id").cast("long"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("tid"))
         known = tokens.join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("tid", "n", F.coalesce("label", "tid").alias("label"))
@@ -286,7 +295,7 @@ def keep_first(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR)
     spark = docs.sparkSession
     doc, key = unused(docs, "_doc"), unused(docs, "_tid")
     keyed = docs.withColumn(doc, F.col("doc_id").cast("long")).withColumn(key, F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    with scratch(spark):
+    with scratch():
         tokens, labels = links(docs, size, numerator)
         known = tokens.join(labels.select(F.col("node").alias("tid"), "label"), "tid", "left").select("tid", F.coalesce("label", "tid").alias("label"))
         groups = keyed.select(F.col(doc).alias("doc"), F.col(key).alias("tid")).groupBy("doc", "tid").agg(F.count("*").alias("rows")).join(known, "tid", "left")
@@ -299,6 +308,6 @@ def keep_first(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR)
 
     out, repeated = those(chosen.where("rows = 1")).select(docs.columns), chosen.where("rows > 1")
     if again := repeated.count():
-        few = those(F.broadcast(repeated) if again <= BROADCAST_IDS else repeated)
+        few = those(F.broadcast(repeated) if again <= BROADCAST_ROWS else repeated)
         out = out.unionByName(few.dropDuplicates([doc, key]).select(docs.columns))
     return out
