@@ -32,9 +32,7 @@ blocks, and what is gathered per text is bounded by its own length."""
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +42,6 @@ from pyspark.sql import functions as F
 from .common import at_end, batch, delete_path, fresh_path, materialise, members, scratch, small_batches, unused
 
 LENGTH = 400
-_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -55,18 +52,22 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
+def encoded(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
 class Bytes:
-    """The units are UTF-8 bytes; a gram is 12 of them."""
+    """A text as units of one UTF-8 byte; a gram is 12 of them."""
 
-    size, gram, step = 1, 12, 8
+    gram, step = 12, 8
 
-    @staticmethod
-    def data(text: str) -> bytes:
-        return encoded(text)
+    def __init__(self, text: str | bytes):
+        self.data = text if isinstance(text, bytes) else encoded(text)
+        self.n = len(self.data)
 
-    @staticmethod
-    def grams(part: np.ndarray) -> np.ndarray:
-        x = part.astype(np.uint64)
+    def grams(self, lo: int, hi: int) -> np.ndarray:
+        """Hashes of the grams inside units lo to hi."""
+        x = np.frombuffer(self.data, np.uint8, hi - lo, lo).astype(np.uint64)
         x2 = x[:-1] | x[1:] << np.uint64(8)
         x4 = x2[:-2] | x2[2:] << np.uint64(16)
         x8 = x4[:-4] | x4[4:] << np.uint64(32)
@@ -75,31 +76,55 @@ class Bytes:
         h ^= h >> np.uint64(32)
         return (h * _C >> np.uint64(32)).astype(np.uint32)
 
+    def names(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The ranks of units lo to hi, as 64-bit names of their content."""
+        from xxhash import xxh3_64_intdigest as digest
+
+        data = self.data
+        return np.fromiter((digest(data[i:j]) for i, j in zip(lo.tolist(), hi.tolist(), strict=True)), np.uint64, len(lo))
+
 
 class Words:
-    """The units are words, as hashes of eight bytes; a gram is two of them."""
+    """A text as words, each a hash of eight bytes; a gram is two of them."""
 
-    size, gram, step = 8, 2, 1
+    gram, step = 2, 1
 
-    @staticmethod
-    def data(text: str) -> bytes:
-        return word_hashes(encoded(text)).tobytes()
+    def __init__(self, text: str | bytes):
+        self.hashes = word_hashes(text if isinstance(text, bytes) else encoded(text))
+        self.n = len(self.hashes)
 
-    @staticmethod
-    def grams(part: np.ndarray) -> np.ndarray:
+    def grams(self, lo: int, hi: int) -> np.ndarray:
+        part = self.hashes[lo:hi]
         return (_mixed(part[:-1] * _A ^ part[1:] * _B) >> np.uint64(32)).astype(np.uint32)
 
+    def names(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Ranks by differences of one running polynomial over the words' hashes."""
+        total = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(self.hashes * _powers(_BASE, self.n), out=total[1:])
+        return _mixed((total[hi] - total[lo]) * _powers(_INVERSE, self.n + 1)[lo] ^ (hi - lo).astype(np.uint64) * _A)
 
-#: For each byte a fixed 64-bit value, by rule, and the odd base of a word's polynomial hash.
+
+#: For each byte a fixed 64-bit value, by rule, and the odd base of polynomial hashes with its inverse.
 _VALUE = _mixed((np.arange(1, 257, dtype=np.uint64) * _A) ^ _B)
+_VALUE[_SPACE] = 0
 _BASE = np.uint64(0x165667B19E3779F9)
-_POWERS = np.concatenate(([np.uint64(1)], np.full(63, _BASE))).cumprod(dtype=np.uint64)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(max(n, 1), base)
+    out[0] = 1
+    return out.cumprod(dtype=np.uint64)
+
+
+_POWERS = _powers(_BASE, 65)
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """First and last-but-one byte of every word."""
-    inside = ~_SPACE[np.frombuffer(data, np.uint8)]
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(inside))
     return edges[::2], edges[1::2]
 
 
@@ -107,19 +132,21 @@ def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of every word: a polynomial of its bytes, or xxh3 beyond 64 bytes."""
     from xxhash import xxh3_64_intdigest as digest
 
-    out, block = [], 1 << 20
+    out, block = [], 1 << 16
     begin, end = word_bounds(data)
     for lo in range(0, len(begin), block):
         b, e = begin[lo : lo + block], end[lo : lo + block]
+        first = int(b[0])
+        place = np.arange(int(e[-1]) - first)
+        starts = np.zeros(len(place), np.int64)
+        starts[b - first] = b - first
+        place -= np.maximum.accumulate(starts)
+        values = _VALUE[np.frombuffer(data, np.uint8, len(place), first)] * _POWERS[np.minimum(place, 64)]
+        total = np.zeros(len(place) + 1, np.uint64)
+        np.cumsum(values, out=total[1:])
         size = e - b
-        long = np.flatnonzero(size > 64)
-        first, size = b.copy(), np.minimum(size, 64)
-        total = size.cumsum()
-        starts = total - size
-        place = np.arange(total[-1]) - np.repeat(starts, size)
-        values = _VALUE[np.frombuffer(data, np.uint8)[np.repeat(first, size) + place]] * _POWERS[place]
-        h = _mixed(np.add.reduceat(values, starts) ^ size.astype(np.uint64) * _A)
-        for k in long.tolist():
+        h = _mixed(total[e - first] - total[b - first] ^ size.astype(np.uint64) * _A)
+        for k in np.flatnonzero(size > 64).tolist():
             h[k] = digest(data[b[k] : e[k]])
         out.append(h)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
@@ -130,16 +157,14 @@ def _stretch(length: int, gram: int = Bytes.gram) -> int:
     return (length - 2 * gram) // 3
 
 
-def anchors(data: bytes, stretch: int, units=Bytes) -> np.ndarray:
+def anchors(units: Bytes | Words, stretch: int) -> np.ndarray:
     """Positions of the grams that are least in some stretch of neighbouring grams."""
     found, block, gram = [], 1 << 20, units.gram
-    kind, total = (np.uint8, len(data)) if units.size == 1 else (np.uint64, len(data) // 8)
-    for lo in range(0, max(1, total - gram + 1), block):
-        first = max(0, lo - stretch + 1)
-        part = np.frombuffer(data, kind, min(total, lo + block + stretch + gram) - first, first * units.size)
-        if len(part) < gram + stretch - 1:
+    for lo in range(0, max(1, units.n - gram + 1), block):
+        first, last = max(0, lo - stretch + 1), min(units.n, lo + block + stretch + gram)
+        if last - first < gram + stretch - 1:
             continue
-        h = units.grams(part)
+        h = units.grams(first, last)
         least = _sliding(h, stretch, np.minimum)
         n = len(h)
         padded = np.zeros(n + stretch - 1, np.uint32)  # stretches that hold a gram: those ending at or after it
@@ -162,39 +187,35 @@ class Cells:
 
     def __init__(self, length: int = LENGTH, units=Bytes):
         self.length, self.units, self.stretch = length, units, _stretch(length, units.gram)
-        if self.stretch < 1:
-            raise ValueError(f"windows of {length} units are too short")
+        if self.stretch < 1 or length > 1023:
+            raise ValueError(f"windows of {length} units are not provided for")
         self.centre = (length - units.gram + 1) // 2
         half = (self.stretch + 1) // 2
         self.near, self.far = self.centre - half, self.centre + half  # an anchor's distance from a window's start
         self.offset = (length - self.far + self.near + 1) // 2  # half a core
 
-    def of(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(anchor, least distance, greatest distance) of every anchor that has windows."""
-        n = len(data) // self.units.size
-        if n < self.length:
-            return (np.zeros(0, np.int64),) * 3
-        at = anchors(data, self.stretch, self.units)
+    def of(self, units: Bytes | Words) -> np.ndarray:
+        """Every anchor that has windows, with their least and greatest distance, as places."""
+        if units.n < self.length:
+            return np.zeros(0, np.int64)
+        at = anchors(units, self.stretch)
         bounds = (at[:-1] + at[1:]) // 2
         low = np.maximum(np.concatenate(([-1], bounds)) + 1 - self.centre, 0)  # first and last window start
-        high = np.minimum(np.concatenate((bounds, [n])) - self.centre, n - self.length)
+        high = np.minimum(np.concatenate((bounds, [units.n])) - self.centre, units.n - self.length)
         some = high >= low
         at, low, high = at[some], low[some], high[some]
-        return at, at - high, at - low
+        return at << 20 | (at - high) << 10 | at - low
 
-    def name(self, data: bytes, lo: int, hi: int, seed: int = 0) -> int:
-        """The rank of units lo to hi."""
-        from xxhash import xxh3_64_intdigest
 
-        return xxh3_64_intdigest(data[lo * self.units.size : hi * self.units.size], seed)
+def _split(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, least distance, greatest distance) of places."""
+    return place >> 20, place >> 10 & 1023, place & 1023
 
 
-def _signed(hashes: list[int]) -> np.ndarray:
-    return np.array(hashes, np.uint64).view(np.int64)
-
-
-def encoded(text: str) -> bytes:
-    return text.encode("utf-8", "surrogatepass")
+def _lists(column) -> list[np.ndarray]:
+    """The rows of a list column of numbers."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[lo:hi] for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def positions(texts: DataFrame, cells: Cells) -> DataFrame:
@@ -207,49 +228,41 @@ def positions(texts: DataFrame, cells: Cells) -> DataFrame:
         for b in batches:
             tids, ranks, places = [], [], []
             for tid, text in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), strict=True):
-                data = cells.units.data(text)
-                at, near, far = cells.of(data)
-                if len(at):
-                    start = at - cells.near
+                units = cells.units(text)
+                place = cells.of(units)
+                if len(place):
+                    start = (place >> 20) - cells.near
                     tids.append(tid)
-                    ranks.append(_signed([cells.name(data, i, i + cells.offset) for i in start.tolist()]))
-                    places.append(at << 20 | near << 10 | far)
+                    ranks.append(units.names(start, start + cells.offset).view(np.int64))
+                    places.append(place)
             yield batch(out, tid=tids, ranks=ranks, places=places)
 
-    if cells.length > 1023:
-        raise ValueError("windows of more than 1023 units are not provided for")
     return texts.select("tid", "text").mapInArrow(run, "tid long, ranks array<long>, places array<long>")
 
 
 def paired(live: DataFrame, texts: DataFrame, cells: Cells) -> DataFrame:
-    """(rank, later, cover, tid, at, near, far): the rank at i, at i + k, and of all its windows cover."""
-    out = pa.schema([("rank", pa.int64()), ("later", pa.int64()), ("cover", pa.int64()), ("tid", pa.int64()), ("at", pa.int64()), ("near", pa.int16()), ("far", pa.int16())])
+    """(core, whole, tid, place): the rank of the pair (rank at i, rank at i + k), and of all its windows cover."""
+    out = pa.schema([("rank", pa.int64()), ("later", pa.int64()), ("cover", pa.int64()), ("tid", pa.int64()), ("place", pa.int64())])
     length = cells.length
 
     def run(batches):
         for b in batches:
-            for tid, text, places in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), b.column("places").to_pylist(), strict=True):
-                data = cells.units.data(text)
-                ranks, later, covers, ats, nears, fars = [], [], [], [], [], []
-                for place in places:
-                    p, lo, hi = place >> 20, place >> 10 & 1023, place & 1023
-                    first, last = p - cells.near, p - cells.far + length
-                    ranks.append(cells.name(data, first, first + cells.offset))
-                    later.append(cells.name(data, last - cells.offset, last))
-                    covers.append(cells.name(data, p - hi, p - lo + length, lo << 16 | hi))
-                    ats.append(p)
-                    nears.append(lo)
-                    fars.append(hi)
-                yield batch(out, rank=_signed(ranks), later=_signed(later), cover=_signed(covers), tid=[tid] * len(ats), at=ats, near=nears, far=fars)
-
-    return with_text(live, texts, "places").mapInArrow(run, "rank long, later long, cover long, tid long, at long, near short, far short")
-
-
-def with_text(rows: DataFrame, texts: DataFrame, *columns: str) -> DataFrame:
-    """(tid, text, the columns as lists): each text with its rows; the bucketed texts do not move."""
-    one = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
-    gathered = rows.groupBy("tid").agg(F.collect_list(one).alias(columns[0] if len(columns) == 1 else "rows"))
-    return gathered.join(texts.select("tid", "text").hint("shuffle_merge"), "tid").select("tid", "text", gathered.columns[1])
+            for tid, text, place in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), _lists(b.column("places")), strict=True):
+                units = cells.units(text)
+                p, near, far = _split(place)
+                first, last = p - cells.near, p - cells.far + length
+                ranks = [units.names(lo, hi).view(np.int64) for lo, hi in ((first, first + cells.offset), (last - cells.offset, last), (p - far, p - near + length))]
+                yield batch(out, rank=ranks[0], later=ranks[1], cover=ranks[2], tid=np.full(len(p), tid), place=place)
+
+    rows = with_text(live, texts, "places").mapInArrow(run, "rank long, later long, cover long, tid long, place long")
+    core = F.xxhash64("rank", "later")
+    return rows.select(core.alias("core"), F.xxhash64(core, "cover", F.col("place").bitwiseAND(0xFFFFF)).alias("whole"), "tid", "place")
+
+
+def with_text(rows: DataFrame, texts: DataFrame, column: str) -> DataFrame:
+    """(tid, text, the column as a list): each text with its rows; the bucketed texts do not move."""
+    gathered = rows.groupBy("tid").agg(F.collect_list(column).alias(column))
+    return gathered.join(texts.select("tid", "text").hint("shuffle_merge"), "tid").select("tid", "text", column)
 
 
 def windows(going: DataFrame, texts: DataFrame, cells: Cells) -> DataFrame:
@@ -263,33 +276,39 @@ def windows(going: DataFrame, texts: DataFrame, cells: Cells) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for tid, text, spans in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), b.column("rows").to_pylist(), strict=True):
-                data = cells.units.data(text)
-                rows = []
-                for s in spans:
-                    p, near, far = s["at"], s["near"], s["far"]
-                    for k in range(near // step, far // step + 1):
-                        base = p - k * step
-                        end = base - edge + length
-                        valid = sum(1 << u for u in range(step) if near <= k * step + u <= far)
-                        left, right = (int.from_bytes(data[max(0, base - edge) : base][::-1], "little"), int.from_bytes(data[end : end + edge], "little")) if edge else (0, 0)
-                        rows.append((cells.name(data, base, end), left, right, valid, base))
-                core, left, right, valid, base = zip(*rows, strict=True)
-                yield batch(out, core=_signed(core), left=left, right=right, valid=valid, tid=[tid] * len(rows), base=base)
-
-    return with_text(going, texts, "at", "near", "far").mapInArrow(run, "core long, left long, right long, valid short, tid long, base long")
-
-
-def settle(items: DataFrame, rank: list[str], extension: list[str], place: list[str]) -> tuple[DataFrame, DataFrame]:
-    """One round: (items whose rank and extension repeat, one witness of each extension of a rank
-    that repeats where one of its extensions does not)."""
-    pairs = items.groupBy(*rank, *extension).agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("witness"))
-    pairs = materialise(pairs, "suffix-pairs")
-    doubtful = pairs.groupBy(*rank).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("single")).where("all > 1 and single > 0").select(*rank)
-    repeated = materialise(pairs.where("n > 1").select(*rank, *extension), "suffix-repeated")
-    done = members(items, repeated, [*rank, *extension])
-    going = members(pairs, materialise(doubtful, "suffix-doubtful"), rank).select(*rank, *extension, "witness.*")
-    return done, going
+            for tid, text, place in zip(b.column("tid").to_pylist(), b.column("text").to_pylist(), _lists(b.column("place")), strict=True):
+                units = cells.units(text)
+                p, near, far = _split(place)
+                each = far // step - near // step + 1
+                k = np.arange(each.sum()) - np.repeat(each.cumsum() - each, each) + np.repeat(near // step, each)
+                near, far, base = np.repeat(near, each), np.repeat(far, each), np.repeat(p, each) - k * step
+                end = base - edge + length
+                valid = sum(((near <= k * step + u) & (k * step + u <= far)).astype(np.int16) << u for u in range(step))
+                left = right = np.zeros(len(base), np.int64)
+                if edge:
+                    data = units.data
+                    left = [int.from_bytes(data[max(0, i - edge) : i][::-1], "little") for i in base.tolist()]
+                    right = [int.from_bytes(data[i : i + edge], "little") for i in end.tolist()]
+                yield batch(out, core=units.names(base, np.minimum(end, units.n)).view(np.int64), left=left, right=right, valid=valid, tid=np.full(len(base), tid), base=base)
+
+    return with_text(going, texts, "place").mapInArrow(run, "core long, left long, right long, valid short, tid long, base long")
+
+
+def repeated(items: DataFrame, rank: str) -> tuple[DataFrame, DataFrame]:
+    """(items whose rank repeats, the repeated ranks as a written table)."""
+    ranks = materialise(items.groupBy(rank).count().where("count > 1").select(rank), "suffix-repeated")
+    return members(items, ranks, [rank]), ranks
+
+
+def settle(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round over (core, whole, ...): (items whose whole repeats, one witness of each whole of a
+    core that repeats where one of its wholes does not)."""
+    columns = [c for c in items.columns if c not in ("core", "whole")]
+    pairs = materialise(items.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct(*columns)).alias("witness")), "suffix-pairs")
+    counts = pairs.groupBy("core").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("single"))
+    doubtful = materialise(counts.where("all > 1 and single > 0").select("core"), "suffix-doubtful")
+    again = materialise(pairs.where("n > 1").select("whole"), "suffix-repeated")
+    return members(items, again, ["whole"]), members(pairs, doubtful, ["core"]).select("core", "whole", "witness.*")
 
 
 def distinct_texts(docs: DataFrame, name: str) -> DataFrame:
@@ -311,46 +330,39 @@ def distinct_texts(docs: DataFrame, name: str) -> DataFrame:
     return spark.table(table)
 
 
-def covered(n: int, spans: Iterable, length: int, more: Iterable[tuple[int, int]] = ()) -> np.ndarray:
-    """Sorted [lo, hi) covered runs from window starts (first, last), and from more such runs."""
-    steps = np.zeros(n + 1, np.int64)
-    for s in spans:
-        steps[s["low"]] += 1
-        steps[s["high"] + length] -= 1
-    for lo, hi in more:
-        steps[lo] += 1
-        steps[hi] -= 1
+def covered(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Sorted maximal runs [lo, hi) of what the runs from low to high cover of n units."""
+    steps = np.bincount(low, minlength=n + 1) - np.bincount(high, minlength=n + 1)
     gone = (steps.cumsum()[:n] > 0).astype(np.int8)
     edges = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
     return edges.reshape(-1, 2)
 
 
 def repeats(texts: DataFrame, length: int = LENGTH, units=Bytes) -> DataFrame:
-    """(tid, spans): per text the ranges (low, high) of starts of windows that repeat elsewhere."""
+    """(tid, spans): per text the ranges of starts of windows that repeat elsewhere, as low << 10 | width."""
     cells = Cells(length, units)
     ranked = materialise(positions(texts, cells), "suffix-positions")
-    shared = materialise(ranked.select(F.explode("ranks").alias("rank")).groupBy("rank").count().where("count > 1").select("rank"), "suffix-shared")
     every = ranked.select("tid", F.explode(F.arrays_zip("ranks", "places")).alias("x")).select("tid", F.col("x.ranks").alias("rank"), F.col("x.places").alias("places"))
+    shared = materialise(ranked.select(F.explode("ranks").alias("rank")).groupBy("rank").count().where("count > 1").select("rank"), "suffix-shared")
     items = materialise(paired(members(every, shared, ["rank"]).drop("rank"), texts, cells), "suffix-pairs-of-ranks")
-    done, going = settle(items, ["rank", "later"], ["cover", "near", "far"], ["tid", "at"])
-    spans = [done.select("tid", (F.col("at") - F.col("far")).alias("low"), (F.col("at") - F.col("near")).alias("high"))]
+    done, going = settle(items)
+    spans = done.select("tid", F.expr("(((place >> 20) - (place & 1023)) << 10) | ((place & 1023) - ((place >> 10) & 1023))").alias("span"))
     narrow = materialise(windows(going, texts, cells), "suffix-windows")
-    done, going = settle(narrow, ["core"], ["left", "right", "valid"], ["tid", "base"])
-    first = F.floor(F.log2(F.col("valid").bitwiseAND(-F.col("valid"))) + 0.5).cast("int")
-    last = F.floor(F.log2(F.col("valid").cast("double"))).cast("int")
-    spans.append(done.select("tid", (F.col("base") - last).alias("low"), (F.col("base") - first).alias("high")))
-    if units.step > 1:
+    if units.step == 1:
+        done, _ = repeated(narrow, "core")
+        spans = spans.unionByName(done.select("tid", F.expr("base << 10").alias("span")))
+    else:
+        done, going = settle(narrow.withColumn("whole", F.xxhash64("core", "left", "right", "valid")))
+        first = F.floor(F.log2(F.col("valid").bitwiseAND(-F.col("valid"))) + 0.5).cast("int")
+        last = F.floor(F.log2(F.col("valid").cast("double"))).cast("int")
+        spans = spans.unionByName(done.select("tid", (F.shiftleft(F.col("base") - last, 10) + (last - first)).alias("span")))
         mask = [(1 << 8 * u) - 1 for u in range(units.step)]
         each = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(mask[u]).cast("long").alias("l"), F.lit(mask[units.step - 1 - u]).cast("long").alias("r")) for u in range(units.step)])
         single = going.select("core", "tid", "base", "left", "right", "valid", F.explode(each).alias("w")).where("((valid >> w.u) & 1) = 1")
-        key = ["core", "u", "l", "r"]
-        single = single.select("core", "w.u", F.col("left").bitwiseAND(F.col("w.l")).alias("l"), F.col("right").bitwiseAND(F.col("w.r")).alias("r"), "tid", (F.col("base") - F.col("w.u")).alias("low"))
-        again = materialise(single.groupBy(*key).count().where("count > 1").select(*key), "suffix-again")
-        spans.append(members(single, again, key).select("tid", "low", F.col("low").alias("high")))
-    every = spans[0]
-    for more in spans[1:]:
-        every = every.unionByName(more)
-    return every.groupBy("tid").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+        whole = F.xxhash64("core", "w.u", F.col("left").bitwiseAND(F.col("w.l")), F.col("right").bitwiseAND(F.col("w.r")))
+        done, _ = repeated(single.select(whole.alias("whole"), "tid", F.shiftleft(F.col("base") - F.col("w.u"), 10).alias("span")), "whole")
+        spans = spans.unionByName(done.select("tid", "span"))
+    return spans.groupBy("tid").agg(F.collect_list("span").alias("spans"))
 
 
 RESULT = pa.schema([("tid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passages", pa.int64()), ("kept", pa.string())])
@@ -365,26 +377,35 @@ def cut(docs: DataFrame, length: int = LENGTH, words: int = 0, cut_words: bool =
     small_batches(docs.sparkSession)
     with scratch():
         texts = distinct_texts(docs, "suffix_texts")
-        marked = texts.join(repeats(texts, length), "tid", "left")
+        marked = texts.join(repeats(texts, length), "tid", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<long>")))
         if words:
-            marked = marked.join(repeats(texts, words, Words).withColumnRenamed("spans", "runs"), "tid", "left")
+            runs = repeats(texts, words, Words).withColumnRenamed("spans", "runs")
+            marked = marked.join(runs, "tid", "left").withColumn("runs", F.coalesce("runs", F.array().cast("array<long>")))
         columns = ["tid", "text", "copies", "spans", *["runs"] * bool(words)]
 
+        def starts(spans):
+            """First and last window starts."""
+            return spans >> 10, (spans >> 10) + (spans & 1023)
+
         def run(batches):
             for b in batches:
                 rows = []
-                for tid, text, copies, spans, *more in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
+                for tid, text, copies, spans, *more in zip(*(b.column(c).to_pylist() for c in columns[:3]), *(_lists(b.column(c)) for c in columns[3:]), strict=True):
                     data = encoded(text)
-                    runs, passages = [], 0
-                    if words and (copies > 1 or more[0]):
+                    passages, found = 0, np.zeros((0, 2), np.int64)
+                    if words and (copies > 1 or len(more[0])):
                         begin, end = word_bounds(data)
                         if copies > 1:
                             passages = int(len(begin) >= words)
                         else:
-                            found = covered(len(begin), more[0], words)
-                            passages, runs = len(found), [(begin[lo], end[hi - 1]) for lo, hi in found.tolist()]
+                            low, high = starts(more[0])
+                            found = covered(len(begin), low, high + words)
+                            passages = len(found)
+                            found = np.stack([begin[found[:, 0]], end[found[:, 1] - 1]], axis=1)
+                    low, high = starts(spans)
+                    low, high = np.concatenate((low, found[:, 0] if cut_words else low[:0])), np.concatenate((high + length, found[:, 1] if cut_words else high[:0]))
                     whole = copies > 1 and (len(data) >= length or cut_words and passages)
-                    gone = [[0, len(data)]] if whole else covered(len(data), spans or [], length, runs if cut_words else ()).tolist()
+                    gone = [[0, len(data)]] if whole else covered(len(data), low, high).tolist() if len(low) else []
                     left, at = [], 0
                     for lo, hi in gone:
                         left.append(data[at:lo])

@@ -62,10 +62,10 @@ def test_anchor_blocks():
     rng = random.Random(9)
     data = bytes(rng.choice(b"abcdef") for _ in range((1 << 20) + 5000))
     stretch = suffix_dedup._stretch(400)
-    at = suffix_dedup.anchors(data, stretch)
+    at = suffix_dedup.anchors(suffix_dedup.Bytes(data), stretch)
     assert np.diff(at).max() <= stretch and at[0] < stretch
     cut = (1 << 20) - 3000
-    part = suffix_dedup.anchors(data[cut:], stretch) + cut
+    part = suffix_dedup.anchors(suffix_dedup.Bytes(data[cut:]), stretch) + cut
     assert [x for x in at if x > cut + stretch] == [x for x in part if x > cut + stretch]
 
 
