@@ -33,7 +33,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_SCRATCH: ContextVar[list[Callable[[], object]] | None] = ContextVar("scratch", default=None)
+_SCRATCH: ContextVar[tuple[list[Callable[[], object]], ...]] = ContextVar("scratch", default=())
 
 
 def delete_path(spark: SparkSession, uri: str) -> None:
@@ -41,19 +41,19 @@ def delete_path(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def at_end(undo: Callable[[], object]) -> None:
-    """Have this called when the scratch ends that we are in, if any."""
-    if (undone := _SCRATCH.get()) is not None:
-        undone.append(undo)
+def at_end(undo: Callable[[], object], outer: bool = False) -> None:
+    """Have this called when the scratch ends that we are in, or the one around it, if any."""
+    if found := _SCRATCH.get()[: -1 if outer else None]:
+        found[-1].append(undo)
 
 
 @contextmanager
 def scratch() -> Iterator[None]:
-    """Deletes the tables materialised inside when it ends, but for those to keep.
+    """Deletes the tables materialised inside when it ends; those to keep go with the scratch around it.
 
     Nothing that is read from them may leave unless it was materialised with ``keep``."""
     undone: list[Callable[[], object]] = []
-    token = _SCRATCH.set(undone)
+    token = _SCRATCH.set((*_SCRATCH.get(), undone))
     try:
         yield
     finally:
@@ -66,8 +66,7 @@ def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    if not keep:
-        at_end(lambda: delete_path(spark, path))
+    at_end(lambda: delete_path(spark, path), keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

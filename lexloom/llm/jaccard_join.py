@@ -104,19 +104,30 @@ def _tokens(docs: DataFrame, size: int, numerator: int) -> DataFrame:
     return keyed.mapInArrow(run, "tid long, n int, prefix array<long>").dropDuplicates(["tid"])
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int, numerator: int) -> DataFrame:
-    """(tid, n, tokens, sketch, tail) of the wanted texts; tail: the l-prefix under reversed hash order."""
-    out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("tail", pa.list_(pa.int64()))])
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(tid, n, tokens, sketch) of the wanted texts."""
+    out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary())])
 
     def run(batches):
         for b in batches:
-            rows = [(tid, len(s), s.tobytes(), sketch(s).tobytes(), s[len(s) - prefix_size(len(s), numerator) :].view(np.int64)) for tid, s in zip(b.column("tid").to_pylist(), (shingles(x, size) for x in b.column("text").to_pylist()), strict=True)]
-            tid, n, tokens, sk, tail = zip(*rows, strict=True) if rows else ((),) * 5
-            yield batch(out, tid=tid, n=n, tokens=tokens, sketch=sk, tail=tail)
+            rows = [(tid, len(s), s.tobytes(), sketch(s).tobytes()) for tid, s in zip(b.column("tid").to_pylist(), (shingles(x, size) for x in b.column("text").to_pylist()), strict=True)]
+            tid, n, tokens, sk = zip(*rows, strict=True) if rows else ((),) * 4
+            yield batch(out, tid=tid, n=n, tokens=tokens, sketch=sk)
 
     keyed = docs.where("text is not null").select(F.xxhash64("text").alias("tid"), "text")
-    found = members(keyed, wanted, ["tid"])
-    return found.mapInArrow(run, "tid long, n int, tokens binary, sketch binary, tail array<long>").dropDuplicates(["tid"])
+    return members(keyed, wanted, ["tid"]).mapInArrow(run, "tid long, n int, tokens binary, sketch binary").dropDuplicates(["tid"])
+
+
+def _tails(numerator: int):
+    """From (tid, n, tokens) the l-prefix under reversed hash order."""
+    out = pa.schema([("tid", pa.int64()), ("n", pa.int32()), ("tail", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for b in batches:
+            tails = [np.frombuffer(x, np.int64)[len(x) // 8 - prefix_size(len(x) // 8, numerator) :] for x in b.column("tokens").to_pylist()]
+            yield batch(out, tid=b.column("tid"), n=b.column("n"), tail=tails)
+
+    return run
 
 
 def _linked(x: np.ndarray, y: np.ndarray, numerator: int) -> bool:
@@ -159,7 +170,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
         return own, other
 
     own, other = sided("sketch")
-    few = pairs.join(own, "a").join(other, "b").select("a", "b", "n", "m", "sketch", "other").mapInArrow(rough, "a long, b long")
+    few = materialise(pairs.join(own, "a").join(other, "b").select("a", "b", "n", "m", "sketch", "other").mapInArrow(rough, "a long, b long"), "jaccard-rough")
+    wanted = materialise(few.select(F.explode(F.array("a", "b")).alias("tid")).distinct(), "jaccard-wanted")
+    sets = members(sets, wanted, ["tid"])
     own, other = sided("tokens")
     return few.join(own, "a").join(other, "b").select("a", "b", "tokens", "other").mapInArrow(exact, "a long, b long")
 
@@ -240,29 +253,37 @@ def _across(postings: DataFrame, sets: DataFrame, numerator: int, nearest: bool
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _candidates(docs: DataFrame, size: int, numerator: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tokens, postings, sets): what passes the filters of all three orders."""
+    need = F.greatest(F.lit(1), F.expr(f"(({numerator} * n + 99) div 100) div 20"))
+    with scratch():
+        prefixes = materialise(_tokens(docs, size, numerator), "jaccard-prefixes")
+        tokens = materialise(prefixes.select("tid", "n"), "jaccard-sizes", keep=True)
+        rows = prefixes.select("tid", "n", F.explode("prefix").alias("token"))
+        shared = prefixes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+        kept = materialise(rows.join(shared, "token"), "jaccard-shared")
+        lists = kept.groupBy("tid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_rarity"))
+        lists = lists.withColumn("need", need).where(F.size("by_rarity") >= F.col("need"))
+        central = F.expr("-((1000 * size(by_rarity)) div n)")
+        postings = lists.select("tid", "n", central.alias("rank"), F.explode(F.expr("slice(by_rarity, 1, cast(size(by_rarity) - need + 1 as int))")).alias("t")).select("tid", "n", "rank", F.col("t.token").alias("token"))
+        alive = postings.groupBy("token").count().where("count > 1").select("token")
+        postings = materialise(postings.join(alive, "token", "left_semi"), "jaccard-postings", keep=True)
+    with scratch():
+        sets = materialise(_sets(docs, materialise(postings.select("tid").distinct(), "jaccard-candidates"), size), "jaccard-sets", keep=True)
+        tails = sets.select("tid", "n", "tokens").mapInArrow(_tails(numerator), "tid long, n int, tail array<long>").select("tid", "n", F.explode("tail").alias("token"))
+        common = materialise(tails.groupBy("token").count().where("count > 1").select("token"), "jaccard-tails")
+        staying = members(tails, common, ["token"]).groupBy("tid").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= need).select("tid")
+        postings = materialise(members(postings, materialise(staying, "jaccard-staying"), ["tid"]), "jaccard-filtered", keep=True)
+    return tokens, postings, sets
+
+
 def links(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR) -> tuple[DataFrame, DataFrame]:
     """(tokens, labels): (tid, n) of every different text, and (node, label) of the linked ones."""
     small_batches(docs.sparkSession)
-    tokens = materialise(_tokens(docs, size, numerator), "jaccard-prefixes")
-    rows = tokens.select("tid", "n", F.explode("prefix").alias("token"))
-    shared = tokens.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    kept = materialise(rows.join(shared, "token"), "jaccard-shared")
-    need = F.greatest(F.lit(1), F.expr(f"(({numerator} * n + 99) div 100) div 20"))
-    lists = kept.groupBy("tid").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_rarity"))
-    lists = lists.withColumn("need", need).where(F.size("by_rarity") >= F.col("need"))
-    central = F.expr("-((1000 * size(by_rarity)) div n)")
-    postings = lists.select("tid", "n", central.alias("rank"), F.explode(F.expr("slice(by_rarity, 1, cast(size(by_rarity) - need + 1 as int))")).alias("t")).select("tid", "n", "rank", F.col("t.token").alias("token"))
-    alive = postings.groupBy("token").count().where("count > 1").select("token")
-    postings = materialise(postings.join(alive, "token", "left_semi"), "jaccard-postings")
-    sets = materialise(_sets(docs, materialise(postings.select("tid").distinct(), "jaccard-candidates"), size, numerator), "jaccard-sets")
-    tails = sets.select("tid", "n", F.explode("tail").alias("token"))
-    common = materialise(tails.groupBy("token").count().where("count > 1").select("token"), "jaccard-tails")
-    staying = members(tails, common, ["token"]).groupBy("tid").agg(F.first("n").alias("n"), F.count("*").alias("shared")).where(F.col("shared") >= need).select("tid")
-    postings = materialise(members(postings, materialise(staying, "jaccard-staying"), ["tid"]), "jaccard-filtered")
+    tokens, postings, sets = _candidates(docs, size, numerator)
     leaders = materialise(postings.groupBy("token").agg(F.min(F.struct("rank", "tid")).alias("lead")), "jaccard-leaders")
     stars = postings.join(leaders, "token").where("tid <> lead.tid").select(F.greatest("tid", "lead.tid").alias("a"), F.least("tid", "lead.tid").alias("b")).distinct()
-    first = materialise(_verified(stars, sets, numerator), "jaccard-stars")
-    labels = materialise(components(first), "jaccard-components")
+    labels = materialise(components(_verified(stars, sets, numerator)), "jaccard-components")
     for nearest in (True, False):
         node = labels.select(F.col("node").alias("tid"), "label")
         led = leaders.select("token", F.col("lead.tid").alias("tid")).join(node, "tid", "left").select("token", F.coalesce("label", "tid").alias("lead"))
@@ -272,7 +293,7 @@ def links(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR) -> t
         if found.isEmpty():
             continue
         labels = materialise(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)), "jaccard-components")
-    return tokens.select("tid", "n"), labels
+    return tokens, labels
 
 
 def link(docs: DataFrame) -> DataFrame:
