@@ -18,8 +18,9 @@ def regex(pattern: str, to: str) -> Rule:
     return lambda c: F.regexp_replace(c, pattern, to)
 
 
-# Latin letters and the Cyrillic letters that look the same.
-LATIN_TWINS, CYRILLIC_TWINS = "xapoeyctkhmXAPOECTKHMB", "хароеусткнмХАРОЕСТКНМВ"
+# Latin letters and the Cyrillic letters that look the same.  B is left to the
+# correction table: it stands for two letters.
+LATIN_TWINS, CYRILLIC_TWINS = "xapoeyctkhmrXAPOECTKHM", "хароеусткнмгХАРОЕСТКНМ"
 
 footnote_digits = regex(r"(?<=[а-яёА-ЯЁӀӏ])[0-9]+", "")
 numeric_palochka = regex(r"[Ӏӏ](?=[0-9Ӏӏ]*[0-9])(?<![а-яёА-ЯЁ].)|(?<=[0-9])[Ӏӏ]", "1")
@@ -91,6 +92,12 @@ def without_label(c: Column) -> Column:
     return F.regexp_replace(c, rf"^({LABELS})\.?\s+", "")
 
 
+def with_label(labels: Column, text: Column) -> Column:
+    """The sense's labels and the one its text begins with, once."""
+    found = label(text)
+    return F.array_union(F.coalesce(labels, F.array().cast("array<string>")), F.when(found == "", F.array().cast("array<string>")).otherwise(F.array(found)))
+
+
 def precomment(c: Column) -> Column:
     return F.regexp_extract(c, r"^(\p{L}+\.)\s+", 1)
 
@@ -132,6 +139,29 @@ def correct(df: DataFrame, column: str, corrections: DataFrame, max_broadcast: i
     return df.join(side, df[column] == side["wrong"], "left").withColumn(column, F.coalesce("right", column)).drop("wrong", "right")
 
 
+def correct_tokens(df: DataFrame, column: str, key: str, corrections: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+    """Replace words inside a text by a table (wrong, right); other signs and spaces stay as they are.
+
+    key: a column that is unique per row.  Words are letters, digits, palochkas and backslashes in a
+    row.  Only words are exploded and joined; rows without a wrong word are not touched."""
+    word = r"[\p{L}\p{N}\\|]+"
+    table = corrections.select("wrong", "right").dropDuplicates(["wrong"])
+    side = F.broadcast(table) if table.count() <= max_broadcast else table
+    found = df.select(F.col(key).alias("_key"), F.explode(F.array_distinct(F.regexp_extract_all(column, F.lit(f"({word})"), F.lit(1)))).alias("wrong")).join(side, "wrong")
+    found = found.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("wrong", "right"))).alias("_right"))
+    pieces = F.regexp_extract_all(column, F.lit(rf"(?s)({word}|[^\p{{L}}\p{{N}}\\|]+)"), F.lit(1))
+    fixed = F.array_join(F.transform(pieces, lambda t: F.coalesce(F.try_element_at(F.col("_right"), t), t)), "")
+    joined = df.join(found, df[key] == found["_key"], "left")
+    return joined.withColumn(column, F.when(F.col("_right").isNull(), F.col(column)).otherwise(fixed)).drop("_key", "_right")
+
+
+def correct_by_key(df: DataFrame, key: str, column: str, corrections: DataFrame) -> DataFrame:
+    """Set a column by a table (key, value): for null headwords by their line, forms by their entry."""
+    table = corrections.select(F.col(key), F.col("value").alias("_value"), F.lit(True).alias("_there")).dropDuplicates([key])
+    joined = df.join(table, key, "left")
+    return joined.withColumn(column, F.when(F.col("_there"), F.col("_value")).otherwise(F.col(column))).drop("_value", "_there").select(df.columns)
+
+
 def blocklist(df: DataFrame, blocked: DataFrame, on: str) -> DataFrame:
     """Rows whose key is not in the list."""
     return df.join(blocked.select(on).distinct(), on, "left_anti")

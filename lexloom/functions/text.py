@@ -105,6 +105,18 @@ def kind_label(c: Column, default: str = "файл") -> Column:
     return F.upper(F.coalesce(missing(c), F.lit(default)))
 
 
-def report(site: str, source: Column, page: Column, anchor: Column, what: Column) -> Column:
-    """A correction request, percent-encoded for a mail or chat link."""
-    return url_quote(F.concat(F.lit("Нашёл неточность в источнике "), source, F.lit(": "), what, F.lit(f"\nссылка: {site}/"), source, F.lit("/"), page, F.lit("#"), anchor, F.lit("\nДолжно быть: ...")))
+#: What a correction request says, by the kind of thing it is about.
+REPORTS = {
+    "entry": "Нашёл неточность в источнике {0}: {1}",
+    "sentence": "Нашёл неточность в корпусе {0}, глава и предложение {1}",
+    "material": "Нашёл неточность в корпусе {0}, материал и предложение {1}",
+    "article": "Нашёл неточность в архиве {0}, запись «{1}»",
+}
+
+
+def report(kind: str, site: str, dataset: Column, page: Column, anchor: Column, what: Column) -> Column:
+    """A correction request of one of the REPORTS kinds, percent-encoded for a mail or chat link."""
+    before, after = REPORTS[kind].split("{0}")
+    after, end = after.split("{1}")
+    place = F.when(anchor == "", "").otherwise(F.concat(F.lit("#"), anchor))
+    return url_quote(F.concat(F.lit(before), dataset, F.lit(after), F.coalesce(what, F.lit("")), F.lit(f"{end}\nссылка: {site}/"), dataset, F.lit("/"), page, place, F.lit("\nДолжно быть: ...")))

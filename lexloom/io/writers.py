@@ -41,6 +41,11 @@ def clear(spark: SparkSession, folder: str) -> None:
     fs.mkdirs(p)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p)
+
+
 def copy_file(spark: SparkSession, source: str, target: str, must_exist: bool = True) -> bool:
     """Byte copy.  A missing file raises, or is reported by False where it may be missing."""
     a, from_fs = _hadoop(spark, source)

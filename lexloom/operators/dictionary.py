@@ -68,6 +68,15 @@ def siblings(entries: DataFrame, language: str = "av") -> DataFrame:
     return pairs.select("letter", F.col("s.prefix").alias("prefixes"))
 
 
+def alphabet(entries: DataFrame, language: str = "av") -> DataFrame:
+    """One row: ``letters``, an array of (letter, entries) of the whole alphabet in order, those without
+    entries too, and after it whatever else words begin with."""
+    known = entries.sparkSession.createDataFrame([(x, k) for k, x in enumerate(collate.alphabet(language))], "letter string, letter_rank int")
+    counts = letters(entries, language).select("letter", "entries")
+    every = known.join(counts, "letter", "full_outer").select(F.coalesce("letter_rank", F.lit(collate.UNKNOWN)).alias("rank"), "letter", F.coalesce("entries", F.lit(0)).cast("long").alias("entries"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "letter", "entries"))), lambda x: F.struct(x["letter"].alias("letter"), x["entries"].alias("entries"))).alias("letters"))
+
+
 def anchors(entries: DataFrame, language: str = "av", page_size: int = PAGE_SIZE) -> DataFrame:
     """Entries with an anchor that is unique on their page: the n-th equal one ends in -n."""
     placed = paged(entries, language, page_size).withColumn("base", anchor_base(F.col("word")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,27 @@ def entry_diff(old: DataFrame, new: DataFrame, keys: list[str], text: str = "tex
     return both.where(differs).select(*keys, change.alias("change"), "old_text", "new_text", F.size("_oe").alias("old_examples"), F.size("_ne").alias("new_examples"), F.array_join(F.array_sort(F.array_except("_ne", "_oe")), "\n").alias("gained"), F.array_join(F.array_sort(F.array_except("_oe", "_ne")), "\n").alias("lost"))
 
 
+def in_turn(entries: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Entries with ``turn``, their place among those of the same key: repeated headwords pair off in order."""
+    return entries.withColumn("turn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def sense_lines(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and the lines of a change log: one for each sense that differs, ``text[i]: old -> new``,
+    after ``senses: n -> m`` where their number differs.  old and new: keys, senses (array of text)."""
+    none = F.array().cast("array<string>")
+    both = old.select(*keys, F.coalesce("senses", none).alias("_a")).join(new.select(*keys, F.coalesce("senses", none).alias("_b")), keys)
+    size = F.greatest(F.size("_a"), F.size("_b"))
+
+    def line(i):
+        a, b = F.get("_a", i), F.get("_b", i)
+        return F.when(~a.eqNullSafe(b), F.concat(F.lit("text["), i.cast("string"), F.lit("]: "), F.coalesce(a, F.lit("")), F.lit(" -> "), F.coalesce(b, F.lit(""))))
+
+    each = F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1), line)).otherwise(none)
+    count = F.when(F.size("_a") != F.size("_b"), F.array(F.concat(F.lit("senses: "), F.size("_a").cast("string"), F.lit(" -> "), F.size("_b").cast("string")))).otherwise(none)
+    return both.select(*keys, F.concat(count, F.filter(each, lambda x: x.isNotNull())).alias("lines")).where(F.size("lines") > 0)
+
+
 def notation(diff: DataFrame) -> DataFrame:
     """Changes as one line each, in the notation of a change log."""
     line = F.when(F.col("change") == "changed", F.concat(F.lit("text: "), F.coalesce("old_text", F.lit("")), F.lit(" -> "), F.coalesce("new_text", F.lit("")))).otherwise(F.coalesce("new_text", "old_text", F.lit("")))

@@ -2,7 +2,7 @@
 
 Tables stand in for lexicographic data: documents are entries (first word, digraphs by a fixed
 translation) and books, conversations are a corpus, orders and pages are articles, nations are
-registered sources."""
+registered datasets."""
 
 from __future__ import annotations
 
@@ -194,7 +194,7 @@ def roman_numerals(spark, sf_dir):
 # --- registry ------------------------------------------------------------------------------------
 
 
-def sources(spark, sf_dir):
+def registry(spark, sf_dir):
     n = C("n_nationkey")
 
     def doc(k: int):
@@ -210,7 +210,7 @@ def sources(spark, sf_dir):
     )
 
 
-_SOURCES = """sources AS (SELECT n_name AS id, n_nationkey AS n, CASE n_nationkey % 4 WHEN 0 THEN 'corpus' WHEN 1 THEN 'articles' WHEN 2 THEN 'lexicon' END AS kind,
+_SOURCES = """registry AS (SELECT n_name AS id, n_nationkey AS n, CASE n_nationkey % 4 WHEN 0 THEN 'corpus' WHEN 1 THEN 'articles' WHEN 2 THEN 'lexicon' END AS kind,
 CASE WHEN n_nationkey % 5 = 0 THEN n_nationkey % 2 = 0 END AS monolingual, CASE WHEN n_nationkey % 3 <> 0 THEN 'av' END AS language_from,
 CASE n_nationkey % 3 WHEN 1 THEN 'av' WHEN 2 THEN 'ru' END AS language_to, CASE WHEN n_nationkey % 2 = 0 THEN 'слов' END AS unit,
 CASE n_nationkey % 6 WHEN 0 THEN 'test' WHEN 1 THEN '' END AS status, CASE WHEN n_nationkey % 8 <> 7 THEN 'data/' || n_name END AS data_path,
@@ -218,7 +218,7 @@ CASE WHEN n_nationkey % 4 = 0 THEN 0 WHEN n_nationkey % 4 = 1 THEN 1 ELSE 2 END
 stats AS (SELECT n.n_name AS id, count(*) AS entries, (count(*) // 10 + 1)::BIGINT AS pages, CASE WHEN any_value(n_nationkey) % 4 = 0 THEN 'предложений' END AS stats_unit
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name),
 links AS (SELECT id, n, k::INT AS k, id || ' ' || k::VARCHAR AS title, upper(coalesce(CASE WHEN n % 2 = 0 THEN 'pdf' END, 'файл')) AS kind, 'docs/' || ((n * 3 + k) % 20)::VARCHAR AS path
-FROM (SELECT *, unnest(range(0, docs)) AS k FROM sources))"""
+FROM (SELECT *, unnest(range(0, docs)) AS k FROM registry))"""
 
 
 def stats(spark, sf_dir):
@@ -227,46 +227,46 @@ def stats(spark, sf_dir):
     return s.select("id", "entries", (F.floor(C("entries") / 10) + 1).alias("pages"), F.when(C("n_nationkey") % 4 == 0, "предложений").alias("stats_unit"))
 
 
-@query(f"WITH {_SOURCES} SELECT id, coalesce(monolingual, false) OR language_from IS NOT DISTINCT FROM language_to AS mono FROM sources")
+@query(f"WITH {_SOURCES} SELECT id, coalesce(monolingual, false) OR language_from IS NOT DISTINCT FROM language_to AS mono FROM registry")
 def monolingual_flag(spark, sf_dir):
-    return sources(spark, sf_dir).select("id", catalog.is_monolingual(C("monolingual"), C("language_from"), C("language_to")).alias("mono"))
+    return registry(spark, sf_dir).select("id", catalog.is_monolingual(C("monolingual"), C("language_from"), C("language_to")).alias("mono"))
 
 
-@query(f"WITH {_SOURCES} SELECT id, CASE WHEN kind IN ('corpus', 'articles') THEN kind ELSE 'dictionary' END AS pipeline FROM sources")
+@query(f"WITH {_SOURCES} SELECT id, CASE WHEN kind IN ('corpus', 'articles') THEN kind ELSE 'dictionary' END AS pipeline FROM registry")
 def kind_dispatch(spark, sf_dir):
-    return sources(spark, sf_dir).select("id", catalog.pipeline_of(C("kind")).alias("pipeline"))
+    return registry(spark, sf_dir).select("id", catalog.pipeline_of(C("kind")).alias("pipeline"))
 
 
-@query(f"WITH {_SOURCES} SELECT id, coalesce(entries, 0)::BIGINT AS entries, coalesce(pages, 0)::BIGINT AS pages, coalesce(stats_unit, unit, 'статей') AS unit, coalesce(nullif(status, ''), 'stable') AS status, coalesce(language_from, 'ru') AS language FROM sources LEFT JOIN stats USING (id)")
+@query(f"WITH {_SOURCES} SELECT id, coalesce(entries, 0)::BIGINT AS entries, coalesce(pages, 0)::BIGINT AS pages, coalesce(stats_unit, unit, 'статей') AS unit, coalesce(nullif(status, ''), 'stable') AS status, coalesce(language_from, 'ru') AS language FROM registry LEFT JOIN stats USING (id)")
 def catalog_stats(spark, sf_dir):
-    return catalog.with_stats(sources(spark, sf_dir), stats(spark, sf_dir)).select("id", "entries", "pages", "unit", "status", F.coalesce("language_from", F.lit("ru")).alias("language"))
+    return catalog.with_stats(registry(spark, sf_dir), stats(spark, sf_dir)).select("id", "entries", "pages", "unit", "status", F.coalesce("language_from", F.lit("ru")).alias("language"))
 
 
-@query(f"WITH {_SOURCES} SELECT count(*) AS sources, sum(entries)::BIGINT AS entries, sum(pages)::BIGINT AS pages FROM stats")
+@query(f"WITH {_SOURCES} SELECT count(*) AS datasets, sum(entries)::BIGINT AS entries, sum(pages)::BIGINT AS pages FROM stats")
 def build_totals(spark, sf_dir):
     return catalog.totals(stats(spark, sf_dir))
 
 
-@query(f"WITH {_SOURCES} SELECT s.id, l.k AS n, l.title, l.kind, l.path FROM sources s LEFT JOIN links l USING (id)")
+@query(f"WITH {_SOURCES} SELECT s.id, l.k AS n, l.title, l.kind, l.path FROM registry s LEFT JOIN links l USING (id)")
 def document_links(spark, sf_dir):
-    return catalog.document_links(sources(spark, sf_dir))
+    return catalog.document_links(registry(spark, sf_dir))
 
 
 @query(f"WITH {_SOURCES} SELECT path, id, k AS n FROM links QUALIFY row_number() OVER (PARTITION BY path ORDER BY links.n, k) = 1")
 def document_dedupe(spark, sf_dir):
-    links = sources(spark, sf_dir).select("id", "source_order", F.posexplode("documents").alias("n", "d")).select("id", "source_order", "n", "d.path")
+    links = registry(spark, sf_dir).select("id", "source_order", F.posexplode("documents").alias("n", "d")).select("id", "source_order", "n", "d.path")
     return catalog.first_per_path(links).select("path", "id", "n")
 
 
-@query(f"WITH {_SOURCES} SELECT 0 AS part, 0::BIGINT AS ordinal, 'sources.json' AS path UNION ALL SELECT 1, n, data_path FROM sources WHERE data_path IS NOT NULL UNION ALL SELECT 2, n * 1000 + k, path FROM (SELECT * FROM links QUALIFY row_number() OVER (PARTITION BY path ORDER BY links.n, k) = 1)")
+@query(f"WITH {_SOURCES} SELECT 0 AS part, 0::BIGINT AS ordinal, 'catalog.json' AS path UNION ALL SELECT 1, n, data_path FROM registry WHERE data_path IS NOT NULL UNION ALL SELECT 2, n * 1000 + k, path FROM (SELECT * FROM links QUALIFY row_number() OVER (PARTITION BY path ORDER BY links.n, k) = 1)")
 def download_list(spark, sf_dir):
-    return catalog.downloads(sources(spark, sf_dir))
+    return catalog.downloads(registry(spark, sf_dir))
 
 
 @query(f"WITH {_SOURCES} SELECT DISTINCT path FROM links WHERE path NOT IN (SELECT 'docs/' || r_regionkey::VARCHAR FROM region)")
 def missing_files(spark, sf_dir):
     present = read(spark, sf_dir, "region").select(F.concat(F.lit("docs/"), C("r_regionkey").cast("string")).alias("path"))
-    return catalog.missing_files(catalog.document_links(sources(spark, sf_dir)).where("path is not null").select("path").distinct(), present)
+    return catalog.missing_files(catalog.document_links(registry(spark, sf_dir)).where("path is not null").select("path").distinct(), present)
 
 
 # --- articles ------------------------------------------------------------------------------------
@@ -354,7 +354,7 @@ _REPORT = "url_encode('Нашёл неточность в источнике ' |
 
 @query(f"{_PAGED} SELECT ordinal, {_REPORT.format('word', S.file_name('prefix', 'page'), 'word')} AS link FROM paged")
 def report_link(spark, sf_dir):
-    return dictionary.paged(entries(spark, sf_dir), page_size=20).select("ordinal", text.report("https://example.org", F.lit("av-ru"), C("file"), C("word"), C("word")).alias("link"))
+    return dictionary.paged(entries(spark, sf_dir), page_size=20).select("ordinal", text.report("entry", "https://example.org", F.lit("av-ru"), C("file"), C("word"), C("word")).alias("link"))
 
 
 _BLANK = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '\\r\\n|\\r', chr(10), 'g'), '[ \\t]+(\\n|$)', '\\1', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g') || chr(10)"
@@ -414,10 +414,13 @@ def _numbers():
     return F.translate(F.concat(C("o_orderkey").cast("string"), F.lit(" "), C("o_custkey").cast("string")), "1", "ӏ")
 
 
-@query("SELECT o_orderkey, translate(concat(o_orderkey::VARCHAR, ' ', o_custkey::VARCHAR), 'ӏ', '1') AS cleaned FROM orders WHERE regexp_matches(o_orderkey::VARCHAR, '[02-9]') AND regexp_matches(o_custkey::VARCHAR, '[02-9]')")
+_NUMBER = "CASE WHEN regexp_matches({0}::VARCHAR, '[02-9]') THEN {0}::VARCHAR ELSE translate({0}::VARCHAR, '1', 'ӏ') END"
+
+
+@query(f"SELECT o_orderkey, {_NUMBER.format('o_orderkey')} || ' ' || {_NUMBER.format('o_custkey')} AS cleaned FROM orders")
 def clean_numeric_palochka(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").where(C("o_orderkey").cast("string").rlike("[02-9]") & C("o_custkey").cast("string").rlike("[02-9]"))
-    return o.select("o_orderkey", clean.apply_rules(_numbers(), [clean.numeric_palochka] * 3).alias("cleaned"))
+    """Numbers of palochkas alone stay: nothing tells them from letters."""
+    return read(spark, sf_dir, "orders").select("o_orderkey", clean.apply_rules(_numbers(), [clean.numeric_palochka] * 3).alias("cleaned"))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'ХIХ' WHEN 1 THEN 'В1' WHEN 2 THEN 'IХ' ELSE '1-себ' END || ' ' || p_name AS cleaned FROM part")
@@ -518,6 +521,96 @@ def entry_diff(spark, sf_dir):
     return diff.entry_diff(old, new, ["k"])
 
 
+# --- lists on pages --------------------------------------------------------------------------------
+
+_LETTERS = ", ".join(f"('{x}', {k})" for k, x in enumerate(collate.AVAR))
+
+
+@query(f"""WITH {S.ENTRIES}, c AS (SELECT letter, sum(entries)::BIGINT AS entries FROM buckets GROUP BY letter), a(letter, k) AS (VALUES {_LETTERS})
+SELECT letter, coalesce(entries, 0)::BIGINT AS entries, row_number() OVER (ORDER BY coalesce(k, 10000), letter)::INT AS place FROM a FULL JOIN c USING (letter)""")
+def alphabet_counts(spark, sf_dir):
+    row = dictionary.alphabet(entries(spark, sf_dir)).select(F.posexplode("letters").alias("p", "l"))
+    return row.select("l.letter", "l.entries", (C("p") + 1).alias("place"))
+
+
+_ESC = "replace(replace(replace(replace(replace(x, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+
+
+@query(f"""WITH {S.ENTRIES}, p AS (SELECT letter, list(prefix ORDER BY prefix_key, prefix) AS every FROM buckets GROUP BY letter)
+SELECT prefix, '<nav>' || array_to_string(list_transform(every, lambda x: '<a href="' || url_encode(x || '.html') || '"' || CASE WHEN x = prefix THEN ' aria-current="page"' ELSE '' END || '>' || {_ESC} || '</a>'), ' ') || '</nav>' AS nav FROM buckets JOIN p USING (letter)""")
+def sibling_lists(spark, sf_dir):
+    b = dictionary.buckets(entries(spark, sf_dir)).join(dictionary.siblings(entries(spark, sf_dir)), "letter")
+    return b.select("prefix", render.choices(C("prefixes"), C("prefix"), lambda p: text.url_quote(dictionary.file_name(p, F.lit(0))), lambda p: p).alias("nav"))
+
+
+@query(f"""{_CHAPTERS}, l AS (SELECT list(chapter ORDER BY chapter) AS every FROM chapters)
+SELECT chapter, '<nav>' || array_to_string(list_transform(every, lambda x: '<a href="' || x::VARCHAR || '.html"' || CASE WHEN x = chapter THEN ' aria-current="page"' ELSE '' END || '>' || x::VARCHAR || '</a>'), ' ') || '</nav>' AS nav FROM chapters, l""")
+def chapter_lists(spark, sf_dir):
+    c = corpus.chapters(sentences(spark, sf_dir)).select("chapter")
+    every = c.agg(F.array_sort(F.collect_list("chapter")).alias("chapters"))
+    return c.crossJoin(F.broadcast(every)).select("chapter", render._chapter_choices(True).alias("nav"))
+
+
+# --- books, keyed corrections, change logs -----------------------------------------------------------
+
+
+@query("SELECT (row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m') DESC, o_orderkey) - 1)::INT AS ordinal, o_orderkey::VARCHAR AS slug, 'books/' || o_orderkey::VARCHAR || '.docx' AS book_path, nullif(CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderpriority END, '') AS editor FROM orders WHERE o_orderstatus = 'F'")
+def books_by_date(spark, sf_dir):
+    from ..io import readers
+
+    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").withColumn("file", F.concat(C("o_orderkey").cast("string"), F.lit(".docx")))
+    files = o.select(F.concat(F.lit("x/y/"), "file").alias("path"), C("o_orderpriority").alias("text"))
+    about = o.select("file", C("o_orderkey").cast("string").alias("slug"), C("o_orderstatus").alias("title"), F.lit("a").alias("author"), F.when(C("o_orderkey") % 2 == 0, "").otherwise(C("o_orderpriority")).alias("editor"), F.date_format("o_orderdate", "yyyy-MM").alias("date"), F.array(F.lit("c")).alias("categories"), C("o_orderkey").alias("ordinal"))
+    return readers.book_records(files, about).select("ordinal", "slug", "book_path", "editor")
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda t: CASE t WHEN 'red' THEN 'крас1ный' WHEN 'blue' THEN 'синий' WHEN 'small' THEN 'малый' ELSE t END), ' ') || ', крас1ный' AS name FROM part")
+def token_corrections(spark, sf_dir):
+    table = spark.createDataFrame([("red", "крас1ный"), ("blue", "синий"), ("small", "малый"), ("re", "no")], "wrong string, right string")
+    p = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(", red")).alias("name"))
+    return clean.correct_tokens(p, "name", "p_partkey", table)
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_orderstatus || '!' WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS word FROM orders")
+def headword_by_line(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    words = o.select("o_orderkey", F.when(C("o_orderkey") % 3 != 0, C("o_orderpriority")).alias("word"))
+    return clean.correct_by_key(words, "o_orderkey", "word", o.where("o_orderkey % 6 = 0").select("o_orderkey", F.concat("o_orderstatus", F.lit("!")).alias("value")))
+
+
+@query("SELECT p_partkey, array_to_string(CASE WHEN p_partkey % 4 = 0 THEN [p_type, p_brand] ELSE [p_name, p_name] END, ',') AS forms FROM part")
+def form_corrections(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    entries_ = p.select("p_partkey", F.array("p_name", "p_name").alias("forms"))
+    fixed = clean.correct_by_key(entries_, "p_partkey", "forms", p.where("p_partkey % 4 = 0").select("p_partkey", F.array("p_type", "p_brand").alias("value")))
+    return fixed.select("p_partkey", F.array_join("forms", ",").alias("forms"))
+
+
+@query("SELECT p_partkey, array_to_string(CASE p_partkey % 3 WHEN 0 THEN ['x', 'нареч'] WHEN 1 THEN ['нареч'] ELSE ['y'] END, ',') AS labels FROM part")
+def label_union(spark, sf_dir):
+    p = read(spark, sf_dir, "part")
+    k = C("p_partkey") % 3
+    said = F.when(k == 2, C("p_name")).otherwise(F.concat(F.lit("нареч. "), "p_name"))
+    labels = F.when(k == 0, F.array(F.lit("x"))).when(k == 1, F.array(F.lit("нареч"))).otherwise(F.array(F.lit("y")))
+    return p.select("p_partkey", F.array_join(clean.with_label(labels, said), ",").alias("labels"))
+
+
+@query("""WITH o AS (SELECT l_orderkey AS k, list(flag ORDER BY l_linenumber, flag) AS a FROM (SELECT l_orderkey, l_linenumber, l_returnflag || l_linestatus AS flag FROM lineitem) GROUP BY 1),
+n AS (SELECT l_orderkey AS k, list(flag ORDER BY l_linenumber, flag) AS b FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 'NEW' ELSE l_returnflag || l_linestatus END AS flag FROM lineitem WHERE l_linenumber < 6) GROUP BY 1),
+s AS (SELECT k, a, b, unnest(range(greatest(len(a), len(b)))) AS i FROM o JOIN n USING (k)),
+t AS (SELECT k, i, 'text[' || i::VARCHAR || ']: ' || coalesce(a[i + 1], '') || ' -> ' || coalesce(b[i + 1], '') AS line FROM s WHERE a[i + 1] IS DISTINCT FROM b[i + 1]
+UNION ALL SELECT k, -1, 'senses: ' || len(a)::VARCHAR || ' -> ' || len(b)::VARCHAR FROM o JOIN n USING (k) WHERE len(a) <> len(b))
+SELECT k, string_agg(line, chr(10) ORDER BY i) AS lines FROM t GROUP BY k""")
+def sense_changes(spark, sf_dir):
+    flag = F.concat("l_returnflag", "l_linestatus")
+    li = read(spark, sf_dir, "lineitem").select(C("l_orderkey").alias("k"), "l_linenumber", flag.alias("old"), F.when(C("l_linenumber") % 2 == 0, "NEW").otherwise(flag).alias("new"))
+
+    def senses(df, c):
+        return df.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", c))), lambda x: x[c]).alias("senses"))
+
+    return diff.sense_lines(senses(li, "old"), senses(li.where("l_linenumber < 6"), "new"), ["k"]).select("k", F.array_join("lines", "\n").alias("lines"))
+
+
 # --- rendering (no SQL: Python's JSON layout, HTML of whole pages) --------------------------------
 
 
@@ -528,21 +621,23 @@ def json_pretty(spark, sf_dir):
 
 @query()
 def rendered_pages(spark, sf_dir):
-    return render.dictionary_pages(entries(spark, sf_dir).withColumn("raw", F.to_json(F.struct("word"))), page_size=20)
+    e = entries(spark, sf_dir).withColumn("raw", F.to_json(F.struct("word")))
+    return render.dictionary_pages(e, page_size=20).unionByName(render.dictionary_index(e))
 
 
 @query()
 def rendered_chapters(spark, sf_dir):
-    return render.chapter_pages(sentences(spark, sf_dir))
+    return render.chapter_pages(sentences(spark, sf_dir)).unionByName(render.corpus_index(sentences(spark, sf_dir)))
 
 
 @query()
 def rendered_articles(spark, sf_dir):
-    none = F.lit(None)
-    full = archive(spark, sf_dir).select("*", none.cast("string").alias("url"), none.cast("string").alias("book_path"), none.cast("array<string>").alias("categories"), C("slug").alias("text"))
-    return render.article_pages(full).unionByName(render.article_index(full))
+    k = C("ordinal") % 4
+    url, book = F.when(k < 2, F.concat(F.lit("https://example.org/?n="), k.cast("string"))).otherwise(""), F.when(k > 0, "books/<b>.docx")
+    full = archive(spark, sf_dir).select("*", url.alias("url"), book.alias("book_path"), F.when(k != 2, F.array("title", F.lit("a & b"))).alias("categories"), C("slug").alias("text"))
+    return render.article_pages(full).unionByName(render.article_index(full)).unionByName(render.archive_index(full))
 
 
 @query()
 def rendered_catalog(spark, sf_dir):
-    return render.catalog_page(catalog.with_stats(sources(spark, sf_dir), stats(spark, sf_dir)).withColumn("title", C("id")))
+    return render.catalog_page(catalog.with_stats(registry(spark, sf_dir), stats(spark, sf_dir)).withColumn("title", C("id")))

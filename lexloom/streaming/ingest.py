@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import collate
 from ..functions.text import headword
-from ..sources.schemas import ENTRY
+from ..io.schemas import ENTRY
 
 
 def entries(spark: SparkSession, folder: str, language: str = "av") -> DataFrame:

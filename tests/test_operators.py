@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from lexloom.io import readers, schemas, writers
 from lexloom.operators import articles, corpus, dictionary, diff, render
-from lexloom.sources import readers, schemas, writers
+from lexloom.plans import build
 from lexloom.streaming import ingest
 
 
@@ -104,6 +105,73 @@ def test_readers(spark, tmp_path):
     assert [r["id"] for r in readers.catalog(spark, str(tmp_path / "s.json")).orderBy("source_order").collect()] == ["a", "b"]
 
 
+def test_ordinals_follow_paths_and_places(spark, tmp_path):
+    for name, n in (("a", 1), ("b", 3000), ("c", 2), ("d", 400)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps({"word": f"{name}{i}"}) + "\n" for i in range(n)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        got = readers.jsonl(spark, str(tmp_path / "*.jsonl"), schemas.ENTRY).select("ordinal", "word").orderBy("ordinal").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r["word"] for r in got] == [f"{name}{i}" for name, n in (("a", 1), ("b", 3000), ("c", 2), ("d", 400)) for i in range(n)]
+    assert [r["ordinal"] for r in got] == list(range(3403))
+    for name in "xy":
+        (tmp_path / f"{name}.json").write_text(json.dumps([{"av": f"{name}{i}"} for i in range(3)]))
+    got = readers.json_array(spark, str(tmp_path / "*.json"), schemas.SENTENCE).orderBy("ordinal").collect()
+    assert [(r["ordinal"], r["av"]) for r in got] == [(i, x) for i, x in enumerate(["x0", "x1", "x2", "y0", "y1", "y2"])]
+
+
+def test_books(spark):
+    files = spark.createDataFrame([("/b/a.docx", "ta"), ("/b/c.txt", "tc"), ("/b/z.txt", "tz"), ("/b/d.txt", "td")], "path string, text string")
+    about = [("a.docx", "a", "A", "x", "", "2001", ["c"], 0), ("c.txt", "c", "C", "y", "ed", "2010", [], 1), ("d.txt", "d", "D", "y", None, "2001", [], 2)]
+    schema = "file string, slug string, title string, author string, editor string, date string, categories array<string>, ordinal int"
+    got = readers.book_records(files, spark.createDataFrame(about, schema)).orderBy("ordinal").collect()
+    assert [(r["slug"], r["book_path"], r["editor"], r["text"]) for r in got] == [("c", "books/c.txt", "ed", "tc"), ("a", "books/a.docx", None, "ta"), ("d", "books/d.txt", None, "td")]
+    with pytest.raises(FileNotFoundError, match="q.txt"):
+        readers.book_records(files, spark.createDataFrame([("q.txt", *about[0][1:])], schema))
+
+
+def test_build(spark, tmp_path):
+    root, out = tmp_path / "root", tmp_path / "out"
+    (root / "data").mkdir(parents=True)
+    (root / "data/d.jsonl").write_text('{"word": "тӏад"}\n{"word": "гъоркь"}\n{"word": "абан"}\n')
+    (root / "data/c.json").write_text(json.dumps([{"chapter": 1, "SentenceNumber": 1, "av": "x", "ru": "y"}, {"chapter": 2, "SentenceNumber": 1, "av": "z"}]))
+    (root / "data/a.jsonl").write_text('{"slug": "s", "title": "t", "date": "2020-01-02", "text": "p", "url": "u", "categories": ["k"]}\n{"slug": "s", "date": "2021"}\n')
+    (root / "f.pdf").write_bytes(b"pdf")
+    doc = {"title": "f", "path": "f.pdf"}
+    (root / "registry.json").write_text(json.dumps({"sources": [
+        {"id": "d", "title": "D", "format": "jsonl", "data_path": "data/d.jsonl", "documents": [doc, doc, {"title": "n", "path": "none.pdf"}]},
+        {"id": "c", "title": "C", "kind": "corpus", "format": "json", "data_path": "data/c.json", "documents": [doc]},
+        {"id": "a", "title": "A", "kind": "articles", "format": "jsonl", "data_path": "data/a.jsonl", "site_path": "arch"},
+    ]}))
+    out.mkdir()
+    (out / "stale.html").write_text("old")
+    with pytest.warns(UserWarning, match="none.pdf"):
+        assert build.build(spark, str(root), str(out), site="https://example.org") == {"d": (3, 4), "c": (2, 3), "a": (2, 5)}
+    made = {str(p.relative_to(out)) for p in out.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    assert made == {"registry.json", "build.json", "index.html", "f.pdf", "data/d.jsonl", "data/c.json", "data/a.jsonl", "d/index.html", "d/тӏад.html", "d/гъор.html", "d/аба.html", "c/index.html", "c/1.html", "c/2.html", "arch/index.html", "arch/a/s.html", "arch/a/s-2.html", "arch/y/2020.html", "arch/y/2021.html"}
+    page = (out / "d/тӏад.html").read_text()
+    assert 'aria-current="page">тӏ</a>' in page and "<span>б</span>" in page and "report</a>" in page and 'rel="prev"' in page
+    assert 'id="letter-%D0%B0"' in (out / "d/index.html").read_text() and 'href="2.html"' in (out / "c/index.html").read_text()
+    assert "2020-01-02 … 2021" in (out / "arch/index.html").read_text() and '<a href="u">' in (out / "arch/a/s-2.html").read_text()
+    assert json.loads((out / "build.json").read_text())["stats"]["c"] == {"entries": 2, "pages": 3}
+    (root / "data/a.jsonl").unlink()
+    with pytest.raises(FileNotFoundError):
+        build.build(spark, str(root), str(out))
+    assert (out / "index.html").exists()
+
+
+def test_repeated_headwords_pair_off(spark):
+    schema = "w string, place int, text string, examples array<string>"
+    old = diff.in_turn(spark.createDataFrame([("a", 1, "x", []), ("a", 2, "y", []), ("b", 3, "z", [])], schema), ["w"], ["place"])
+    new = diff.in_turn(spark.createDataFrame([("a", 1, "x", []), ("a", 2, "q", ["e"]), ("a", 3, "n", [])], schema), ["w"], ["place"])
+    got = {(r["w"], r["turn"], r["line"], r["gained"]) for r in diff.notation(diff.entry_diff(old, new, ["w", "turn"])).collect()}
+    assert got == {("a", 2, "~ text: y -> q", "e"), ("a", 3, "+ n", ""), ("b", 1, "- z", "")}
+
+
 def test_docx_and_writers(spark, tmp_path):
     books = tmp_path / "books"
     books.mkdir()
