@@ -3,6 +3,8 @@ materialised tables, filesystem access that works for any store, and a worker-si
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -22,10 +24,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir, which every executor can reach."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The shared folder named in spark.checkpoint.dir, which every executor can reach.
+
+    Where it is unset, a folder of our own if driver and executors are one process; else an error."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not found:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='lexloom-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+        context.setCheckpointDir(found)
     return found.rstrip("/")
 
 

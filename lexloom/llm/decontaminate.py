@@ -294,3 +294,16 @@ def strip_spans(docs: DataFrame, items: DataFrame, window: int = 13, least_words
         return b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
 
     return scan(docs, items, window, finish, docs.schema)
+
+
+#: The digest in DuckDB SQL, window of 13 words.
+ORACLE = r"""WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT * FROM (SELECT row_number() OVER () AS iid, item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0 AND item IS NOT NULL),
+item_at AS (SELECT iid, item, w, least(13, len(w)) AS n, unnest(range(greatest(1, len(w) - 12))) AS i FROM item),
+item_window AS (SELECT DISTINCT iid, item, n, array_to_string(w[i + 1:i + n], ' ') AS s FROM item_at),
+doc_at AS (SELECT rid, w, n, unnest(range(greatest(0, len(w) - n + 1))) AS i FROM doc, (SELECT DISTINCT n FROM item_window)),
+hit AS (SELECT rid, d.i, d.n, iid, item FROM (SELECT rid, n, i, array_to_string(w[i + 1:i + n], ' ') AS s FROM doc_at) d JOIN item_window USING (n, s)),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT rid, i, n FROM hit)) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, iid, item FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated FROM doc LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)"""

@@ -332,3 +332,16 @@ def keep_first(docs: DataFrame, size: int = SHINGLE, numerator: int = NUMERATOR)
         few = those(F.broadcast(repeated) if again <= BROADCAST_ROWS else repeated)
         out = out.unionByName(few.dropDuplicates([doc, key]).select(docs.columns))
     return out
+
+
+#: ``link`` in DuckDB SQL: all pairs that share a shingle, and what each text reaches by links.
+ORACLE = r"""WITH RECURSIVE doc AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+placed AS (SELECT rid, w, unnest(range(greatest(1, len(w) - 3))) AS i FROM doc WHERE len(w) > 0),
+gram AS (SELECT DISTINCT rid, array_to_string(w[i + 1:i + 4], ' ') AS s FROM placed),
+size AS (SELECT rid, count(*) AS n FROM gram GROUP BY rid),
+shared AS (SELECT a.rid AS x, b.rid AS y, count(*) AS n_both FROM gram a JOIN gram b USING (s) WHERE a.rid < b.rid GROUP BY 1, 2),
+edge AS (SELECT x, y FROM shared JOIN size a ON a.rid = x JOIN size b ON b.rid = y WHERE 100 * n_both >= 85 * (a.n + b.n - n_both)),
+both_ways AS (SELECT x, y FROM edge UNION ALL SELECT y, x FROM edge),
+reach(x, y) AS (SELECT rid, rid FROM doc UNION SELECT r.x, e.y FROM reach r JOIN both_ways e ON r.y = e.x),
+first AS (SELECT r.x AS rid, min(d.doc_id) AS component_id FROM reach r JOIN doc d ON d.rid = r.y GROUP BY r.x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM doc LEFT JOIN size USING (rid) JOIN first USING (rid)"""
