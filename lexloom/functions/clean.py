@@ -59,13 +59,18 @@ def apply_rules(c: Column, rules: list[Rule]) -> Column:
 
 
 def homoglyphs(c: Column) -> Column:
-    """In tokens that mix scripts, look-alike Latin letters become Cyrillic; Latin words stay."""
+    """In tokens that mix scripts, look-alike Latin letters become Cyrillic; Latin words stay.
+
+    Only texts that hold such a token are taken apart."""
     def fix(t: Column) -> Column:
         mixed = t.rlike("[A-Za-z]") & t.rlike(CYRILLIC)
         alike = t.rlike(f"^[{LATIN_TWINS}IilǀӀӏ|1]+$") & t.rlike("[xXTKHktчц][Iil|]")
         return F.when(mixed | alike, palochka(F.translate(t, LATIN_TWINS, CYRILLIC_TWINS))).otherwise(t)
 
-    return F.array_join(F.transform(F.split(c, " "), fix), " ")
+    cyrillic, latin = CYRILLIC.strip("[]"), "A-Za-z"
+    mixed = f"[^ {latin}{cyrillic}]*+(?:[{latin}][^ {cyrillic}]*+[{cyrillic}]|[{cyrillic}][^ {latin}]*+[{latin}])"
+    alike = rf"[{LATIN_TWINS}IilǀӀӏ|1]++\R?(?: |$)"
+    return F.when(c.rlike(f"(?:^| )(?:{mixed}|{alike})"), F.array_join(F.transform(F.split(c, " "), fix), " ")).otherwise(c)
 
 
 def token_filter(c: Column) -> Column:

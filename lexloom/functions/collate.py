@@ -19,11 +19,24 @@ def alphabet(language: str) -> list[str]:
     return AVAR if language == "av" else ENGLISH if language == "en" else RUSSIAN
 
 
+def _prepared(c: Column, language: str) -> tuple[Column, str]:
+    """(lower-cased text, pattern of a letter)."""
+    c = F.lower(F.coalesce(c, F.lit("")))
+    return (palochka(c, lowered=True), f"(?s)(?:{'|'.join(DIGRAPHS)})|.") if language == "av" else (c, "(?s).")
+
+
 def tokens(c: Column, language: str = "av") -> Column:
     """Letters of the lower-cased word; Avar digraphs are one letter, the longest match wins."""
-    c = F.lower(F.coalesce(c, F.lit("")))
-    pattern = f"(?s)(?:{'|'.join(DIGRAPHS)})|." if language == "av" else "(?s)."
-    return F.regexp_extract_all(palochka(c) if language == "av" else c, F.lit(pattern), F.lit(0))
+    c, pattern = _prepared(c, language)
+    return F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+
+
+def spaced(c: Column, language: str = "av") -> tuple[Column, Column]:
+    """(the tokens of a whole text with one space between them, their number), without an array of letters."""
+    c, pattern = _prepared(c, language)
+    found = F.regexp_replace(c, pattern, "$0 ")
+    number = F.length(found) - F.length(c)  # one space each
+    return F.substring(found, F.lit(1), F.length(found) - 1), number.cast("long")
 
 
 def rank(token: Column, language: str = "av") -> Column:

@@ -15,16 +15,19 @@ def _replace(c: Column, pattern: str, to: str) -> Column:
     return F.regexp_replace(c, pattern, to)
 
 
-def palochka(c: Column) -> Column:
+def palochka(c: Column, lowered: bool = False) -> Column:
     """One palochka after a base letter, digits elsewhere; Latin words are left alone.
 
     A run of glyphs, look-alikes and ones after an upper (lower) base is one upper (lower) palochka;
-    other glyphs are the digit 1; a run of look-alikes between non-Latin characters is ones."""
+    other glyphs are the digit 1; a run of look-alikes between non-Latin characters is ones.
+    Every rule begins with a class of characters, which is quicker to look for than a place between them.
+    lowered: the text has no upper-case letters, which saves a pass."""
     run = f"[{GLYPHS}{LOOKALIKES}1]+"
-    c = _replace(c, f"(?<=[{UPPER_BASES}]){run}", "Ӏ")
-    c = _replace(c, f"(?<=[{LOWER_BASES}]){run}", "ӏ")
-    c = _replace(c, f"(?<![{UPPER_BASES}{LOWER_BASES}])[{GLYPHS}]", "1")
-    return _replace(c, f"(?:(?<![A-Za-z])(?=[{LOOKALIKES}]+(?![A-Za-z]))|(?!^)\\G)[{LOOKALIKES}]", "1")
+    if not lowered:
+        c = _replace(c, f"([{UPPER_BASES}]){run}", "$1Ӏ")
+    c = _replace(c, f"([{LOWER_BASES}]){run}", "$1ӏ")
+    c = _replace(c, f"(?s)[{GLYPHS}](?<![{UPPER_BASES}{LOWER_BASES}].)", "1")
+    return _replace(c, f"(?=[{LOOKALIKES}])(?:(?<![A-Za-z])(?=[{LOOKALIKES}]+(?![A-Za-z]))|(?!^)\\G)[{LOOKALIKES}]", "1")
 
 
 def missing(c: Column) -> Column:

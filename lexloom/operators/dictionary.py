@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import collate
 from ..functions.text import anchor_base
+from .order import placed
 
 PAGE_SIZE = 500
 
@@ -38,11 +39,11 @@ def file_name(prefix: Column, page: Column) -> Column:
 
 
 def paged(entries: DataFrame, language: str = "av", page_size: int = PAGE_SIZE) -> DataFrame:
-    """Entries with their place in the bucket, page and page file."""
-    order = Window.partitionBy("prefix").orderBy("key", "word", "ordinal")
-    placed = keyed(entries, language).withColumn("position", F.row_number().over(order) - 1)
-    placed = placed.withColumn("page", F.floor(F.col("position") / page_size).cast("int"))
-    return placed.withColumn("file", file_name(F.col("prefix"), F.col("page")))
+    """Entries with their place in the bucket, page and page file; a bucket of most entries is no single task."""
+    found = placed(keyed(entries, language), ["prefix"], [F.col("key"), F.col("word"), F.col("ordinal")], "position")
+    found = found.withColumn("position", (F.col("position") - 1).cast("int"))
+    found = found.withColumn("page", F.floor(F.col("position") / page_size).cast("int"))
+    return found.withColumn("file", file_name(F.col("prefix"), F.col("page")))
 
 
 def pages(entries: DataFrame, language: str = "av", page_size: int = PAGE_SIZE) -> DataFrame:
@@ -79,6 +80,6 @@ def alphabet(entries: DataFrame, language: str = "av") -> DataFrame:
 
 def anchors(entries: DataFrame, language: str = "av", page_size: int = PAGE_SIZE) -> DataFrame:
     """Entries with an anchor that is unique on their page: the n-th equal one ends in -n."""
-    placed = paged(entries, language, page_size).withColumn("base", anchor_base(F.col("word")))
+    found = paged(entries, language, page_size).withColumn("base", anchor_base(F.col("word")))
     nth = F.row_number().over(Window.partitionBy("prefix", "page", "base").orderBy("position"))
-    return placed.withColumn("nth", nth).withColumn("anchor", F.when(F.col("nth") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), F.col("nth").cast("string")))).drop("nth")
+    return found.withColumn("nth", nth).withColumn("anchor", F.when(F.col("nth") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), F.col("nth").cast("string")))).drop("nth")

@@ -64,7 +64,8 @@ def palochka_normalize(spark, sf_dir):
 
 @query(f"WITH t AS (SELECT doc_id, {S.tokens(S.avar('text'))} AS tk FROM documents) SELECT doc_id, len(tk)::BIGINT AS n_tokens, md5(array_to_string(tk, ' ')) AS tokens_md5 FROM t")
 def digraph_tokens(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", collate.tokens(C("av")).alias("tk")).select("doc_id", F.size("tk").cast("long").alias("n_tokens"), F.md5(F.array_join("tk", " ")).alias("tokens_md5"))
+    found, number = collate.spaced(C("av"))
+    return docs(spark, sf_dir).select("doc_id", number.alias("n_tokens"), F.md5(found).alias("tokens_md5"))
 
 
 @query(f"WITH t AS (SELECT p_partkey, {S.tokens('p_name', 'en')} AS en, {S.tokens('p_name', 'ru')} AS ru FROM part) SELECT p_partkey, array_to_string({S.sort_key('en', 'en')}, ',') AS en_key, array_to_string({S.sort_key('ru', 'ru')}, ',') AS ru_key FROM t")
@@ -315,7 +316,11 @@ def slug_base(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", text.slug_base(C("url")).alias("slug"))
 
 
-@query()
+#: Here no name is another's with a number (``x`` and ``x-2``), as the last condition holds; those are tested by brute force.
+_BASES = f"based AS (SELECT ordinal, {_SLUG.format('slug')} AS base, row_number() OVER (PARTITION BY {_SLUG.format('slug')} {_ARTICLE_ORDER}) AS nth FROM articles)"
+
+
+@query(f"WITH {_ARTICLES}, {_BASES} SELECT ordinal::BIGINT AS ordinal, base || CASE nth WHEN 1 THEN '' ELSE '-' || nth::VARCHAR END AS file FROM based WHERE NOT EXISTS (SELECT 1 FROM based b JOIN based c ON c.base = regexp_replace(b.base, '-[0-9]+$', '') AND c.base <> b.base)")
 def article_filenames(spark, sf_dir):
     return articles.file_names(archive(spark, sf_dir))
 

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from lexloom.functions import collate
 from lexloom.io import readers, schemas, writers
-from lexloom.operators import articles, corpus, dictionary, diff, render
+from lexloom.operators import articles, corpus, dictionary, diff, order, render
 from lexloom.plans import build
 from lexloom.streaming import ingest
 
@@ -223,3 +224,37 @@ def test_query_against_sql(spark, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).select(F.count("*")).first()[0] > 0
+
+
+def test_places_in_hot_groups(spark):
+    rows = [(i, None if i % 3 else f"g{i % 5}", (i * 7919) % 101) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i long, g string, k long")
+    got = {r["i"]: r["place"] for r in order.placed(df, ["g"], [F.col("k").desc(), F.col("i")], "place").collect()}
+    seen = {}
+    for i, g, _ in sorted(rows, key=lambda r: (-r[2], r[0])):
+        seen[g] = seen.get(g, 0) + 1
+        assert got[i] == seen[g]
+    assert order.placed(df.limit(0), ["g"], [F.col("i")], "place").collect() == []
+
+
+def test_names_that_meet(spark):
+    rows = [(1, "x"), (2, "x-2"), (3, "x"), (4, "x"), (5, "y 7"), (6, "y 7"), (7, None), (8, "жж"), (9, "x-2-2"), (10, "x-2"), (11, "z-2"), (12, "z-2")]
+    df = spark.createDataFrame([(i, s, None if i % 2 else "2020-01-01") for i, s in rows], "ordinal long, slug string, date string")
+    used, names = set(), {}
+    for i, s in sorted(sorted(rows), key=lambda r: (r[0] % 2 == 0, r[1] or ""), reverse=True):
+        base = re.sub("[^a-z0-9]+", "-", (s or "").lower()).strip("-") or "article"
+        names[i], n = base, 2
+        while names[i] in used:
+            names[i], n = f"{base}-{n}", n + 1
+        used.add(names[i])
+    got = {r["ordinal"]: r["file"] for r in articles.file_names(df).collect()}
+    assert len(set(got.values())) == len(rows)
+    assert got == names
+
+
+def test_spaced_tokens(spark):
+    words = ["", None, "гъоркь", "Т1ад I к1а", "x\nгь", "ЧIII 1"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    found, number = collate.spaced(F.col("w"))
+    for r in df.select(collate.tokens(F.col("w")).alias("tk"), found.alias("s"), number.alias("n")).collect():
+        assert (r["s"], r["n"]) == (" ".join(r["tk"]), len(r["tk"]))

@@ -82,3 +82,13 @@ def test_small_functions(spark):
 )
 def test_cleaning_golden(spark, rule, pairs):
     assert apply(spark, rule, pairs) == list(pairs.values())
+
+
+def test_homoglyphs_token_by_token(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("xIкTaцбi|1 \n.K") for _ in range(rng.randint(0, 12))) for _ in range(500)] + ["xI\n", "aab  xIapп", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    whole = {r["i"]: r["x"] for r in df.select("i", clean.homoglyphs(F.col("t")).alias("x")).collect()}
+    parts = df.select("i", F.posexplode(F.split("t", " ")).alias("p", "w")).select("i", "p", clean.homoglyphs(F.col("w")).alias("x")).collect()
+    for i, t in enumerate(texts):
+        assert whole[i] == (None if t is None else " ".join(r["x"] for r in sorted((r for r in parts if r["i"] == i), key=lambda r: r["p"])))
