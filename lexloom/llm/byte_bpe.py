@@ -4,9 +4,9 @@
 adjacent pair with the lowest rank is joined.  Only distinct pieces are folded, once per worker
 cache; a text's ids are the cached ids in order and its decoding is the concatenation of the
 cached binary pieces, looked up by id.  ``higher_order_encode`` is the same fold as one Spark SQL
-expression (``aggregate`` over the byte array with a literal rank map); it gives the same ids, but
-per-lookup cost of literal maps keeps it out of the budget on whole tables (figures: README), so the
-query runs the Python fold.  One map over the rows: no shuffle.
+expression (``aggregate`` over the byte array with a literal rank map, dealt into small maps by
+checksum); it gives the same ids, but some thirty times the time a word keeps it out of the budget
+on whole tables (figures: README), so the query runs the Python fold.  One map over the rows: no shuffle.
 
 Defined cases: null and empty texts have no ids (digests of the empty string); repeated rows give
 repeated rows; other columns are ignored; an empty table gives an empty result."""
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -86,29 +88,47 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def rank_table(ranks: dict[bytes, int]) -> Column:
+    """The ranks as one literal: an array of small maps, a part's map at the crc32 of its hex string.
+
+    The optimizer folds it into a constant once; a look-up is a checksum, an index and a map of a few entries."""
+    maps: list[dict[str, int]] = [{} for _ in range(1 << max(4, len(ranks).bit_length()))]
+    for k, r in ranks.items():
+        name = k.hex().upper()
+        maps[zlib.crc32(name.encode()) % len(maps)][name] = r
+    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
+
+
 def higher_order_encode(word: Column, ranks: dict[bytes, int]) -> Column:
     """Ids of a binary pre-token column by Spark's higher-order functions alone.
 
     State: the array of parts as hex strings.  Each step of the outer fold, one per byte, finds the
     lowest-ranked adjacent pair and joins its first place; steps after the last merge do nothing."""
-    table = F.create_map(*[F.lit(v) for k, r in ranks.items() for v in (k.hex().upper(), r)])
+    table, slots = rank_table(ranks), F.lit(1 << max(4, len(ranks).bit_length()))
     far = F.lit(2**31 - 1)
     text = F.hex(word)
     size = F.length(word)
     parts = F.when(size > 0, F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(text, i * 2 - 1, F.lit(2)))).otherwise(F.array().cast("array<string>"))
 
+    def look_up(x: Column) -> Column:
+        return F.try_element_at(F.get(table, (F.crc32(x.cast("binary")) % slots).cast("int")), x)
+
     def rank(p: Column, i: Column) -> Column:
-        return F.coalesce(F.try_element_at(table, F.concat(F.element_at(p, i), F.element_at(p, i + 1))), far)
+        return F.coalesce(look_up(F.concat(F.element_at(p, i), F.element_at(p, i + 1))), far)
 
     def step(p: Column, _: Column) -> Column:
         costs = F.when(F.size(p) > 1, F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: rank(p, i))).otherwise(F.array().cast("array<int>"))
-        low = F.coalesce(F.array_min(costs), far)
+        # the costs are named once: an array of one is folded over
+        return F.aggregate(F.array(costs), p, lambda p, costs: joined(p, costs, F.coalesce(F.array_min(costs), far)))
+
+    def joined(p: Column, costs: Column, low: Column) -> Column:
         at = F.array_position(costs, low).cast("int")
-        joined = F.concat(F.slice(p, F.lit(1), at - 1), F.array(F.concat(F.element_at(p, at), F.element_at(p, at + 1))), F.slice(p, at + 2, F.size(p)))
-        return F.when(low < far, joined).otherwise(p)
+        both = F.concat(F.slice(p, F.lit(1), at - 1), F.array(F.concat(F.element_at(p, at), F.element_at(p, at + 1))), F.slice(p, at + 2, F.size(p)))
+        return F.when(low < far, both).otherwise(p)
 
-    merged = F.aggregate(parts, parts, step)
-    return F.transform(merged, lambda x: F.element_at(table, x))
+    merged = F.transform(F.aggregate(parts, parts, step), look_up)
+    whole = look_up(text)
+    return F.when(whole.isNotNull(), F.array(whole)).otherwise(merged)
 
 
 class Codec:

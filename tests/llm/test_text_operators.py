@@ -66,6 +66,12 @@ def test_higher_order_fold(spark):
     df = spark.createDataFrame([(w,) for w in words], "w binary")
     got = [r[0] for r in df.select(byte_bpe.higher_order_encode(F.col("w"), ranks)).collect()]
     assert got == [byte_bpe.fold_merges(w, ranks) if w else [] for w in words]
+    ranks = {k: r for k, r in byte_bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")).items() if r < 3000}
+    rng = random.Random(6)
+    words = [w for w in {bytes(rng.choice(b"etaoin shr\xc3\xa9\xd0\xb0") for _ in range(rng.randint(1, 24))) for _ in range(300)}]
+    df = spark.createDataFrame([(w,) for w in words], "w binary")
+    for r in df.select("w", byte_bpe.higher_order_encode(F.col("w"), ranks).alias("ids")).collect():
+        assert r["ids"] == byte_bpe.fold_merges(bytes(r["w"]), ranks)
 
 
 def test_sstable(spark, docs, empty):
