@@ -64,4 +64,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": decontaminate.ORACLE, "op5_chat_format": chat_format.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
+    return {"op4_decontaminate": decontaminate.ORACLE, "op5_chat_format": chat_format.ORACLE, "op6_interleave": interleave.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
