@@ -61,12 +61,15 @@ class Template:
         how = self.spec["roles"].get(role) or self.spec["other"]
         return [(how["open"].replace("{role}", self.escape(role)), False), (self.escape(text), how["loss"]), (how["close"], False)]
 
-    def role_of(self, opening: str) -> str:
+    def parse(self, formatted: str) -> tuple[str, str]:
+        """(role, text) of one formatted turn, told by its marks alone: openings differ from their first
+        signs on, and neither a role nor a text holds a control string."""
         for role, how in self.spec["roles"].items():
-            if how["open"] == opening:
-                return role
+            if formatted.startswith(how["open"]):
+                return role, self.unescape(formatted[len(how["open"]) : -len(how["close"])])
         before, after = self.spec["other"]["open"].split("{role}")
-        return self.unescape(opening.removeprefix(before).removesuffix(after))
+        role, _, rest = formatted.removeprefix(before).partition(after)
+        return self.unescape(role), self.unescape(rest[: -len(self.spec["other"]["close"])])
 
     def move(self, state: str | None, role: str) -> str | None:
         """The next state, or None once the turn order is broken."""
@@ -124,7 +127,7 @@ DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_s
 
 
 def read_chats(formatted: DataFrame, spec: dict = TEMPLATE) -> DataFrame:
-    """Per conversation, from the formatted rows alone: turns and loss text unescaped and digested."""
+    """Per conversation, from the formatted rows alone: turns parsed out of their marks, loss text by its flags."""
     small_batches(formatted.sparkSession)
 
     def run(batches):
@@ -137,9 +140,9 @@ def read_chats(formatted: DataFrame, spec: dict = TEMPLATE) -> DataFrame:
                     if held:
                         yield done(held)
                     current, held = conv, [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, None]
-                opening, content, _ = segments
+                role, text = form.parse("".join(s["text"] for s in segments))
                 held[1] += 1
-                held[2].update(f"{form.role_of(opening['text'])}\n{form.unescape(content['text'])}\n".encode())
+                held[2].update(f"{role}\n{text}\n".encode())
                 for s in segments:
                     held[5] += len(s["text"])
                     if s["loss"]:
