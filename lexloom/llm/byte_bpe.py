@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WordCache, batch, small_batches, worker_own
-from .pretokens import pieces
+from .pretokens import cutter
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -135,7 +135,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
-        self.ranks, self.split = ranks, regex.compile(pattern)
+        self.ranks, self.split, self.pieces = ranks, regex.compile(pattern), cutter(pattern)
         self.binary = {i: b for b, i in ranks.items()}
         self.words = WordCache(lambda words: [fold_merges(w.encode(), ranks) for w in words], 200_000)
         self.heads = WordCache(self.of_parts, 20_000)
@@ -153,7 +153,7 @@ class Codec:
         return out
 
     def encode(self, text: str) -> list[int]:
-        head, rest = pieces(text)
+        head, rest = self.pieces(text)
         found = [*self.of_parts([head] if head else []), *self.rest.of(rest)]
         return [int(i) for x in found for i in x[1].split()]
 
@@ -161,7 +161,7 @@ class Codec:
         return b"".join(map(self.binary.__getitem__, ids))
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        head, rest = pieces(text)
+        head, rest = self.pieces(text)
         found = self.rest.of(rest)
         if head:
             found.insert(0, self.heads.of([head])[0])

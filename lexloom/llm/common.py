@@ -110,18 +110,18 @@ class WordCache:
     """Bounded memo from a piece of text to its encoding, kept by a Python worker between batches.
 
     ``fill`` gets a list of unseen pieces and returns their values in order.  When the memo is full
-    the half learnt first stays (frequent words come early), so memory is bounded; results never
-    depend on what is remembered."""
+    the half learnt first stays (frequent words come early), and pieces of over ``longest`` signs are
+    never remembered, so memory is bounded; results never depend on what is remembered."""
 
-    def __init__(self, fill: Callable[[list], Iterable], limit: int = 600_000):
-        self.fill, self.limit, self.known = fill, limit, {}
+    def __init__(self, fill: Callable[[list], Iterable], limit: int = 600_000, longest: int = 1000):
+        self.fill, self.limit, self.longest, self.known = fill, limit, longest, {}
 
     def learn(self, missing: list) -> dict:
         values = dict(zip(missing, self.fill(missing), strict=True))
         if len(self.known) + len(values) > self.limit:
             self.known = dict(islice(self.known.items(), self.limit // 2))
         if len(self.known) + len(values) <= self.limit:
-            self.known.update(values)
+            self.known.update(values if max(map(len, values), default=0) <= self.longest else {k: v for k, v in values.items() if len(k) <= self.longest})
         return values
 
     def of(self, wanted: list) -> list:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WordCache, batch, filesystem, fresh_path, materialise, small_batches, worker_own
+from .pretokens import rules
 from .token_counts import byte_chars, load_tokenizer
 
 MAGIC = b"LXSST\x00\x01\n"
@@ -197,6 +198,19 @@ _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: The vocabulary's pre-token pattern for such words in lower case.
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
+#: Fixed value: the rules of a tokenizer file under which white-space-separated words encode alone.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "dropout": None,
+}
+
 
 class WordIds:
     """Token ids of whole texts, by cached white-space-separated words.
@@ -205,12 +219,13 @@ class WordIds:
     so words encode alone as in the text.  Plain words are cut into their pre-tokens here and the
     library's model merges each; all other words go through the library's whole pipeline.  A text
     with a special string, or with one of the four control signs that Python alone counts as white
-    space, goes to the library whole."""
+    space, goes to the library whole, and so does every text if the file has other rules."""
 
     def __init__(self, path: str):
         self.tok = load_tokenizer(path)
         self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.proven = rules(path) == RULES
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         chars = {b: c for c, b in byte_chars().items()}
@@ -233,7 +248,7 @@ class WordIds:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian bytes of the format's width."""
-        if any(s in text for s in self.special) or _SEPARATORS.search(text):
+        if not self.proven or any(s in text for s in self.special) or _SEPARATORS.search(text):
             return self.packed(self.tok.encode(text, add_special_tokens=False).ids)
         return b"".join(self.words.of(text.split()))
 

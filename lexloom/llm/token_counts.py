@@ -7,7 +7,8 @@ table counts as one token without any merging; only the others go through the li
 each distinct one once per worker cache.  One map over the rows: no shuffle.
 
 Defined cases: null and empty texts have 0 bytes and 0 tokens; texts that hold a special string
-are encoded whole by the library, as its default treats them; repeated rows give repeated rows;
+are encoded whole by the library, as its default treats them, and so are all texts if the file's
+rules or the pattern are not the ones that the shortcut is proven for; repeated rows give repeated rows;
 other columns are ignored; an empty table gives an empty result."""
 
 from __future__ import annotations
@@ -16,12 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import WordCache, batch, small_batches, worker_own
-from .pretokens import pieces
+from .pretokens import PATTERN, pieces, rules
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
 
+#: Fixed value: the rules of a tokenizer file under which its pre-tokens are those of ``PATTERN``.
+RULES = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, "dropout": None}
+
+
 def load_tokenizer(path: str):
     import os
 
@@ -66,6 +71,7 @@ class Counter:
 
         self.tok, self.split, self.whole = load_tokenizer(path), regex.compile(pattern), whole
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.proven = pattern == PATTERN and rules(path) == RULES
         self.chars = {b: c for c, b in byte_chars().items()}
         self.merged = WordCache(self.merge)
         self.heads = WordCache(self.of_parts, 100_000)
@@ -86,7 +92,7 @@ class Counter:
         counts = [0] * len(texts)
         cut = []
         for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
+            if not self.proven or any(s in text for s in self.special):
                 counts[i] = len(self.tok.encode(text, add_special_tokens=False).ids)
             else:
                 cut.append((i, *pieces(text)))
