@@ -23,7 +23,8 @@ def regex(pattern: str, to: str) -> Rule:
 LATIN_TWINS, CYRILLIC_TWINS = "xapoeyctkhmrXAPOECTKHM", "хароеусткнмгХАРОЕСТКНМ"
 
 footnote_digits = regex(r"(?<=[а-яёА-ЯЁӀӏ])[0-9]+", "")
-numeric_palochka = regex(r"[Ӏӏ](?=[0-9Ӏӏ]*[0-9])(?<![а-яёА-ЯЁ].)|(?<=[0-9])[Ӏӏ]", "1")
+# A run after a digit is taken whole: each sign at a digit or where the last match ended.
+numeric_palochka = regex(r"[Ӏӏ](?=[0-9Ӏӏ]*[0-9])(?<![а-яёА-ЯЁ].)|(?:(?<=[0-9])|(?!^)\G)[Ӏӏ]", "1")
 hyphen_suffix = regex(r"([A-Za-z]{2,})([а-яёӏ]{2,})", "$1-$2")
 control_chars = regex(r"[\x00-\x1f\x7f-\x9f]", "")
 dot_split = regex(rf"(?<={CYRILLIC}{{4}})\.(?={CYRILLIC})", ". ")

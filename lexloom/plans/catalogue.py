@@ -425,7 +425,7 @@ _NUMBER = "CASE WHEN regexp_matches({0}::VARCHAR, '[02-9]') THEN {0}::VARCHAR EL
 @query(f"SELECT o_orderkey, {_NUMBER.format('o_orderkey')} || ' ' || {_NUMBER.format('o_custkey')} AS cleaned FROM orders")
 def clean_numeric_palochka(spark, sf_dir):
     """Numbers of palochkas alone stay: nothing tells them from letters."""
-    return read(spark, sf_dir, "orders").select("o_orderkey", clean.apply_rules(_numbers(), [clean.numeric_palochka] * 3).alias("cleaned"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", clean.numeric_palochka(_numbers()).alias("cleaned"))
 
 
 @query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'ХIХ' WHEN 1 THEN 'В1' WHEN 2 THEN 'IХ' ELSE '1-себ' END || ' ' || p_name AS cleaned FROM part")

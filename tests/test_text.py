@@ -84,6 +84,11 @@ def test_cleaning_golden(spark, rule, pairs):
     assert apply(spark, rule, pairs) == list(pairs.values())
 
 
+def test_numeric_palochka_takes_whole_runs(spark):
+    pairs = {"5ӏӏӏӏ": "51111", "20ӏӏӏӏӏӏӏ ӏӏ": "201111111 ӏӏ", "ӏӏӏӏӏ0": "111110", "ӏ0ӏӏӏӏ": "101111", "ӏӏӏӏ": "ӏӏӏӏ", "тӏӏ": "тӏӏ", "7Ӏӏ ӏтӏ": "711 ӏтӏ", "ӏ": "ӏ", "": "", None: None}
+    assert apply(spark, clean.numeric_palochka, pairs) == list(pairs.values())
+
+
 def test_homoglyphs_token_by_token(spark):
     rng = random.Random(5)
     texts = ["".join(rng.choice("xIкTaцбi|1 \n.K") for _ in range(rng.randint(0, 12))) for _ in range(500)] + ["xI\n", "aab  xIapп", "", None]
