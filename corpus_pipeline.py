@@ -13,8 +13,10 @@ from lexloom.llm.common import materialise, read
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters: no language can be told."""
-    return language_id.keep_known(docs, language_id.train(docs))
+    """Drops documents whose language cannot be told: no letters, or no learned language says yes.
+
+    Without labelled rows there is no model, and only those without letters go."""
+    return language_id.keep_known(docs, language_id.train(docs), language_id.TOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

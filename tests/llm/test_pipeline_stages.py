@@ -90,3 +90,11 @@ def test_stage_without_labels_keeps_letters(spark):
     rows = [(0, "some words", None), (1, "12 !", None), (2, "ж", None), (3, None, None), (4, "", None)]
     kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+
+
+def test_stage_drops_languages_not_learnt(spark):
+    rng, syllables = random.Random(9), {"en": ["th", "er", "on", "an", "re", "ing"], "de": ["sch", "ü", "ein", "ß", "keit", "zu"], "es": ["que", "lá", "do", "mo", "pu", "va"], None: ["łó", "wcz", "yk", "dzi", "ją", "mp"]}
+    rows = [(i, " ".join("".join(rng.choice(syllables[lang]) for _ in range(3)) for _ in range(40)), lang) for i, lang in enumerate(["en", "de", "es", None] * 40)]
+    rows += [(1000, "12 !", "en"), (1001, None, "en")]
+    kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] < 1000 and r[2]]
