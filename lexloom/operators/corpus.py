@@ -25,6 +25,11 @@ def numbered(sentences: DataFrame) -> DataFrame:
     return in_chapters(sentences).withColumn("place", F.row_number().over(order)).withColumn("shown", display_number(F.col("SentenceNumber"), F.col("sentence")))
 
 
+def numbers(sentences: DataFrame) -> DataFrame:
+    """The chapters' numbers, one row each."""
+    return in_chapters(sentences).select("chapter").distinct()
+
+
 def chapters(sentences: DataFrame) -> DataFrame:
     """(chapter, sentences, title, author): title and author of the first sentence in order."""
     first = F.min_by(F.struct("title", "author"), F.struct(F.coalesce("SentenceNumber", F.lit(0)), F.col("ordinal")))

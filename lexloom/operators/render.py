@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import escape_html, paragraphs, preview, report, roman, thousands, url_quote
 from . import articles as art
 from . import corpus, dictionary
+from .order import tasks
 
 
 @F.pandas_udf(T.StringType())
@@ -88,6 +89,24 @@ def dictionary_index(entries: DataFrame, language: str = "av") -> DataFrame:
     return whole.select(F.lit("index.html").alias("path"), page(F.lit("Index"), F.concat(letter_choices(F.col("letters"), F.lit("")), F.col("body"))).alias("html"))
 
 
+def with_chapter_list(rows: DataFrame, numbers: DataFrame, monolingual: bool = False) -> DataFrame:
+    """Rows of (chapter, ...) with ``nav``, the list of all chapters with their own one marked: by number, or
+    by Roman numeral beside a translation.  numbers: the table of chapters, one row each.
+
+    Every list is the unmarked one with the mark put in at a place, so that one is made once and its bytes are
+    copied.  Lists are as long as there are chapters: the rows are dealt out before they get theirs."""
+    shown = F.col("chapter").cast("string") if monolingual else roman(F.col("chapter"))
+    head, tail = F.concat(F.lit('<a href="'), F.col("chapter").cast("string"), F.lit('.html"')), F.concat(F.lit(">"), escape_html(shown), F.lit("</a>"))
+    links = numbers.select("chapter", F.concat(head, tail).alias("link"), F.octet_length(head).alias("head"))
+    before = F.sum(F.octet_length("link") + 1).over(Window.orderBy("chapter").rowsBetween(Window.unboundedPreceding, -1))
+    places = links.select("chapter", (F.coalesce(before, F.lit(0)) + F.col("head") + len("<nav>")).cast("int").alias("_cut"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chapter", "link"))), lambda x: x["link"]), " ")
+    whole = links.agg(F.concat(F.lit("<nav>"), joined, F.lit("</nav>")).cast("binary").alias("_list"))
+    dealt = rows.join(places, "chapter").repartition(tasks(rows.sparkSession), "_cut").crossJoin(F.broadcast(whole))
+    nav = F.concat(F.substring("_list", F.lit(1), F.col("_cut")).cast("string"), F.lit(' aria-current="page"'), F.substring("_list", F.col("_cut") + 1, F.octet_length("_list")).cast("string"))
+    return dealt.select(*rows.columns, nav.alias("nav"))
+
+
 def _chapter_choices(monolingual: bool) -> Column:
     """The chapters' list on a chapter's page: by number, or by Roman numeral beside a translation."""
     def shown(n: Column) -> Column:

@@ -551,9 +551,8 @@ def sibling_lists(spark, sf_dir):
 @query(f"""{_CHAPTERS}, l AS (SELECT list(chapter ORDER BY chapter) AS every FROM chapters)
 SELECT chapter, '<nav>' || array_to_string(list_transform(every, lambda x: '<a href="' || x::VARCHAR || '.html"' || CASE WHEN x = chapter THEN ' aria-current="page"' ELSE '' END || '>' || x::VARCHAR || '</a>'), ' ') || '</nav>' AS nav FROM chapters, l""")
 def chapter_lists(spark, sf_dir):
-    c = corpus.chapters(sentences(spark, sf_dir)).select("chapter")
-    every = c.agg(F.array_sort(F.collect_list("chapter")).alias("chapters"))
-    return c.crossJoin(F.broadcast(every)).select("chapter", render._chapter_choices(True).alias("nav"))
+    n = corpus.numbers(sentences(spark, sf_dir))
+    return render.with_chapter_list(n, n, True)
 
 
 # --- books, keyed corrections, change logs -----------------------------------------------------------

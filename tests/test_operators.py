@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from lexloom.functions import collate
+from lexloom.functions import collate, text
 from lexloom.io import readers, schemas, writers
 from lexloom.operators import articles, corpus, dictionary, diff, order, render
 from lexloom.plans import build
@@ -82,6 +82,19 @@ def test_chapters(spark):
     assert corpus.stats(df).first()["entries"] == 4
 
 
+def test_chapter_lists_are_dealt_out(spark):
+    """The list of every chapter is the plain one with its own marked, and no single task makes them all."""
+    numbers = [-1, 0, 7, *range(995, 1100)]
+    df = spark.createDataFrame([(n,) for n in numbers], "chapter int").repartition(3)
+    for monolingual in (True, False):
+        lists = render.with_chapter_list(df, df, monolingual)
+        shown = {r["chapter"]: r["t"] for r in df.select("chapter", (F.col("chapter").cast("string") if monolingual else text.roman(F.col("chapter"))).alias("t")).collect()}
+        want = {c: "<nav>" + " ".join(f'<a href="{n}.html"{" aria-current=" + chr(34) + "page" + chr(34) if n == c else ""}>{shown[n]}</a>' for n in numbers) + "</nav>" for c in numbers}
+        assert sorted((r["chapter"], r["nav"]) for r in lists.collect()) == sorted(want.items())
+        assert lists.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert render.with_chapter_list(df.limit(0), df.limit(0)).count() == 0
+
+
 def test_diff_is_empty_for_equal_sets(spark):
     df = spark.createDataFrame([("a", "x", ["1"]), ("b", None, None)], "k string, text string, examples array<string>")
     assert diff.entry_diff(df, df, ["k"]).count() == 0
