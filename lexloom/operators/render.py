@@ -107,14 +107,6 @@ def with_chapter_list(rows: DataFrame, numbers: DataFrame, monolingual: bool = F
     return dealt.select(*rows.columns, nav.alias("nav"))
 
 
-def _chapter_choices(monolingual: bool) -> Column:
-    """The chapters' list on a chapter's page: by number, or by Roman numeral beside a translation."""
-    def shown(n: Column) -> Column:
-        return n.cast("string") if monolingual else roman(n)
-
-    return choices(F.col("chapters"), shown(F.col("chapter")), lambda x: F.concat(x.cast("string"), F.lit(".html")), shown)
-
-
 def chapter_pages(sentences: DataFrame, monolingual: bool = False, site: str = "", dataset: str = "corpus") -> DataFrame:
     """(path, html) of every chapter, in parallel or single-language layout."""
     rows = corpus.numbered(sentences)
@@ -123,14 +115,13 @@ def chapter_pages(sentences: DataFrame, monolingual: bool = False, site: str = "
     cells = F.concat(F.lit("<p>"), escape_html(F.col("av")), F.lit("</p>")) if monolingual else F.concat(F.lit("<p>"), escape_html(F.col("av")), F.lit("</p><p>"), escape_html(F.col("ru")), F.lit("</p>"))
     one = F.concat(F.lit('<div id="s-'), F.col("shown").cast("string"), F.lit('">'), cells, reported(href), F.lit("</div>"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", one.alias("html")))), lambda x: x["html"]), "\n")
-    every = corpus.chapters(sentences).agg(F.array_sort(F.collect_list("chapter")).alias("chapters"))
-    made = rows.groupBy("chapter").agg(body.alias("body")).join(corpus.navigation(sentences), "chapter").crossJoin(F.broadcast(every))
+    made = with_chapter_list(rows.groupBy("chapter").agg(body.alias("body")).join(corpus.navigation(sentences), "chapter"), corpus.numbers(sentences), monolingual)
 
     def name(c: Column) -> Column:
         return F.concat(c.cast("string"), F.lit(".html"))
 
     head = F.concat(F.lit("<h1>"), escape_html(F.col("title")), F.lit("</h1><p>"), escape_html(F.col("author")), F.lit("</p>"))
-    return made.select(name(F.col("chapter")).alias("path"), page(F.col("title"), F.concat(_chapter_choices(monolingual), head, F.col("body"), neighbours(name(F.col("prev_chapter")), name(F.col("next_chapter"))))).alias("html"))
+    return made.select(name(F.col("chapter")).alias("path"), page(F.col("title"), F.concat(F.col("nav"), head, F.col("body"), neighbours(name(F.col("prev_chapter")), name(F.col("next_chapter"))))).alias("html"))
 
 
 def corpus_index(sentences: DataFrame, monolingual: bool = False) -> DataFrame:

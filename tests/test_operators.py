@@ -95,6 +95,18 @@ def test_chapter_lists_are_dealt_out(spark):
     assert render.with_chapter_list(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_chapter_pages_mark_one_chapter_each(spark):
+    """Chapters without a Roman numeral too; pages are dealt out over tasks."""
+    rows = [(i, c, 1, None, "", "x", "a", "b") for i, c in enumerate([-2, 0, *range(1, 30)])]
+    df = spark.createDataFrame(rows, "ordinal long, chapter int, SentenceNumber int, sentence int, title string, author string, av string, ru string")
+    pages = render.chapter_pages(df)
+    got = {r["path"]: r["html"] for r in pages.collect()}
+    assert sorted(got) == sorted(f"{r[1]}.html" for r in rows)
+    for path, html in got.items():
+        assert html.count("aria-current") == 1 and f'<a href="{path}" aria-current="page">' in html and html.count("<a href=") == len(rows)
+    assert pages.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
 def test_diff_is_empty_for_equal_sets(spark):
     df = spark.createDataFrame([("a", "x", ["1"]), ("b", None, None)], "k string, text string, examples array<string>")
     assert diff.entry_diff(df, df, ["k"]).count() == 0
